@@ -38,6 +38,6 @@ def validate(df: DataFrame, target_date: str) -> ValidationResult:
 
 def filter_kst_range(df: DataFrame, start_date: str, end_date: str) -> DataFrame:
     """Rows whose KST date lies in [start_date, end_date], both inclusive."""
-    lo = dt.date.fromisoformat(start_date)
-    hi = dt.date.fromisoformat(end_date)
-    return df.filter(F.col("event_date_kst").between(F.lit(lo), F.lit(hi)))
+    lo = F.lit(dt.date.fromisoformat(start_date).isoformat()).cast("date")
+    hi = F.lit(dt.date.fromisoformat(end_date).isoformat()).cast("date")
+    return df.filter(F.col("event_date_kst").between(lo, hi))

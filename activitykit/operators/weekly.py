@@ -23,17 +23,21 @@ from activitykit.functions.time import week_start
 def week_filter(column: str, week_from: str | None = None, week_to: str | None = None) -> Column | None:
     """Both bounds → BETWEEN; one → >= or <=; none → no filter."""
     c = F.col(column)
-    lo = dt.date.fromisoformat(week_from) if week_from else None
-    hi = dt.date.fromisoformat(week_to) if week_to else None
-    if lo and hi:
-        return c.between(F.lit(lo), F.lit(hi))
-    if lo:
-        return c >= F.lit(lo)
-    if hi:
-        return c <= F.lit(hi)
+    lo = _date_lit(week_from) if week_from else None
+    hi = _date_lit(week_to) if week_to else None
+    if lo is not None and hi is not None:
+        return c.between(lo, hi)
+    if lo is not None:
+        return c >= lo
+    if hi is not None:
+        return c <= hi
     return None
 
 
+def _date_lit(iso: str) -> Column:
+    return F.lit(dt.date.fromisoformat(iso).isoformat()).cast("date")
+
+
 def _day_prune(df: DataFrame, week_from: str | None, week_to: str | None) -> DataFrame:
     if "event_date_kst" not in df.columns or not (week_from or week_to):
         return df
@@ -74,8 +78,8 @@ def affected_weeks(spark: SparkSession, start_date: str, end_date: str) -> DataF
     """Mondays from the week of ``start_date`` to the week of ``end_date``, inclusive."""
     return affected_weeks_of(
         spark.range(1).select(
-            F.lit(dt.date.fromisoformat(start_date)).alias("start_date"),
-            F.lit(dt.date.fromisoformat(end_date)).alias("end_date"),
+            _date_lit(start_date).alias("start_date"),
+            _date_lit(end_date).alias("end_date"),
         )
     )
 
