@@ -36,7 +36,10 @@ DEFAULT_MAX_USER_ROWS = 2_000_000
 BROADCAST_ROW_LIMIT = 1_000_000
 MAX_GAP_SECONDS = 86_400  # a snapshot only holds users seen in its own run (one day apart)
 
-_TS_NULL = F.lit(None).cast("timestamp")
+
+
+def _ts_null():
+    return F.lit(None).cast("timestamp")
 
 
 def user_activity_stats(df: DataFrame) -> DataFrame:
@@ -89,7 +92,7 @@ def sessionize(
     out_columns = list(df.columns)
     t = F.col("event_time_utc")
 
-    rows = df.withColumns({"_src": F.lit(1), "_carry_start": _TS_NULL})
+    rows = df.withColumns({"_src": F.lit(1), "_carry_start": _ts_null()})
     if previous_snapshot is not None:
         seeds = previous_snapshot.where(F.col("last_event_time_utc").isNotNull()).select(
             F.col("user_id"),
@@ -110,7 +113,7 @@ def sessionize(
 
     if hot is None:
         parts = ["user_id"]
-        rows = rows.withColumns({"_prev_chunk_last": _TS_NULL})
+        rows = rows.withColumns({"_prev_chunk_last": _ts_null()})
     else:
         parts = ["user_id", "_chunk", "_hot"]
         rows = rows.join(_side(hot, n_hot, broadcast_row_limit), "user_id", "left")
@@ -149,7 +152,7 @@ def sessionize(
     )
 
     if hot is None:
-        rows = rows.withColumn("_entering", _TS_NULL)
+        rows = rows.withColumn("_entering", _ts_null())
     else:
         # Session start in force when a chunk begins: the last chunk-end state
         # among the previous chunks (a later start, else the seed's start).
