@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from activitykit.operators.dedup import _grouped, deduplicate, duplicate_groups_of, duplicate_metrics, with_dedup_key
+from activitykit.operators.dedup import deduplicate, duplicate_metrics
 from activitykit.operators.metrics import (
     dlq_ratio,
     output_partition_summary,
@@ -26,7 +26,7 @@ from activitykit.operators.metrics import (
     unique_sessions,
 )
 from activitykit.operators.normalize import normalize
-from activitykit.operators.sessionize import first_event_per_user, sessionize
+from activitykit.operators.sessionize import first_event_per_user, sessionize, user_activity_stats
 from activitykit.operators.snapshot import build_snapshot
 from activitykit.operators.validate import filter_kst_range, validate
 from activitykit.operators.weekly import (
@@ -84,7 +84,19 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sessionized(spark: SparkSession, sf_dir: str, gap: int = 300, **kw) -> DataFrame:
-    return sessionize(deduplicated(spark, sf_dir), gap_seconds=gap, **kw)
+    return _sessionize_valid(valid_invalid(spark, sf_dir).valid, gap, **kw)
+
+
+def _sessionize_valid(valid: DataFrame, gap: int, previous_snapshot: DataFrame | None = None, **kw) -> DataFrame:
+    """Dedup + sessionize; hot users are found from the valid rows (before the dedup
+    shuffle), which have the same first/last times per user and an upper bound of rows."""
+    return sessionize(
+        deduplicate(valid).deduplicated,
+        previous_snapshot,
+        gap_seconds=gap,
+        user_stats=user_activity_stats(valid),
+        **kw,
+    )
 
 
 def _session_rows(df: DataFrame) -> DataFrame:
@@ -158,11 +170,9 @@ def q_sessionize_hot_split(spark, sf_dir):
 def _two_batches(spark, sf_dir, gap, **kw) -> DataFrame:
     """Days up to FIRST_BATCH_END, then the rest seeded by the first run's snapshot."""
     valid = valid_invalid(spark, sf_dir).valid
-    first = sessionize(deduplicate(filter_kst_range(valid, "0001-01-01", FIRST_BATCH_END)).deduplicated,
-                       gap_seconds=gap, **kw)
+    first = _sessionize_valid(filter_kst_range(valid, "0001-01-01", FIRST_BATCH_END), gap, **kw)
     snap = build_snapshot(first, FIRST_BATCH_END, RUN_ID)
-    second = sessionize(deduplicate(filter_kst_range(valid, SECOND_BATCH_START, "9999-12-31")).deduplicated,
-                        previous_snapshot=snap, gap_seconds=gap, **kw)
+    second = _sessionize_valid(filter_kst_range(valid, SECOND_BATCH_START, "9999-12-31"), gap, snap, **kw)
     return first.unionByName(second)
 
 
@@ -238,7 +248,7 @@ def q_stage_counts(spark, sf_dir):
             "valid": valid,
             "invalid": invalid,
             "deduplicated": dedup,
-            "sessionized": sessionize(dedup),
+            "sessionized": sessionize(dedup, user_stats=user_activity_stats(valid)),
         }
     )
 
