@@ -292,4 +292,170 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "affected_weeks": q_affected_weeks,
         "dlq_ratio": q_dlq_ratio,
         "stage_counts": q_stage_counts,
+        "wau_summary": q_wau_summary,
+        **WRITING_QUERIES,
     }
+
+
+# ----------------------------------------------------------------------------
+# Queries that write and read back (each under a new folder of the shared dir)
+# ----------------------------------------------------------------------------
+def q_quality_gate(spark, sf_dir):
+    from activitykit.functions.reasons import is_invalid
+    from activitykit.operators.dedup import with_dedup_key
+    from activitykit.plans.quality import gate_of_metrics
+
+    keyed = with_dedup_key(normalized(spark, sf_dir))
+    metrics = keyed.agg(
+        F.count(F.lit(1)).alias("input_row_count"),
+        F.count_distinct(F.when(~is_invalid(), F.col("dedup_key"))).alias("output_row_count"),
+        F.count_if(F.col("event_time_utc").isNull()).alias("invalid_event_time_count"),
+        (F.count_if(is_invalid()).cast("double") / F.count(F.lit(1)).cast("double")).alias("dlq_ratio"),
+    )
+    return gate_of_metrics(metrics)
+
+
+def q_csv_scan(spark, sf_dir):
+    from activitykit.runtime import scratch_path
+    from activitykit.sources.activity_csv import read_activity_csv, write_activity_csv
+
+    path = scratch_path(spark, "csv")
+    ensure_utc(spark)
+    write_activity_csv(events_as_activity(spark, sf_dir, dirty=True), path)
+    return comparable(normalize(read_activity_csv(spark, path), RUN_ID))
+
+
+def _table_rows(df: DataFrame) -> DataFrame:
+    return comparable(df.select("raw_user_session", "session_id", "price", "event_time_utc", "event_date_kst"))
+
+
+def q_publish_roundtrip(spark, sf_dir):
+    from activitykit.runtime import scratch_path
+    from activitykit.sources import fs
+    from activitykit.sources.publish import publish_partitions
+    from activitykit.sources.sinks import to_table_layout, write_staging
+
+    root = scratch_path(spark, "publish")
+    write_staging(to_table_layout(sessionized(spark, sf_dir)), f"{root}/staging")
+    dates = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{root}/staging")]
+    publish_partitions(spark, f"{root}/staging", f"{root}/final", dates)
+    return _table_rows(spark.read.parquet(f"{root}/final"))
+
+
+def q_catalog_roundtrip(spark, sf_dir):
+    import uuid
+
+    from activitykit.runtime import scratch_path
+    from activitykit.sources import catalog, fs
+    from activitykit.sources.publish import publish_partitions
+    from activitykit.sources.sinks import to_table_layout, write_staging
+
+    root = scratch_path(spark, "catalog")
+    write_staging(to_table_layout(sessionized(spark, sf_dir)), f"{root}/staging")
+    dates = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{root}/staging")]
+    publish_partitions(spark, f"{root}/staging", f"{root}/final", dates, move=True)
+    name = f"activity_events_{uuid.uuid4().hex[:12]}"
+    catalog.create_activity_table(spark, name, f"{root}/final")
+    catalog.add_partitions(spark, name, f"{root}/final", dates)
+    return comparable(weekly_users(catalog.read_table(spark, name)))
+
+
+def q_incremental_weekly_overwrite(spark, sf_dir):
+    """Two runs; the second recomputes only its weeks from the table and rewrites
+    only those week partitions. The dataset read back covers all weeks."""
+    from activitykit.functions.time import monday_of
+    from activitykit.runtime import scratch_path
+    from activitykit.sources import fs
+    from activitykit.sources.publish import publish_partitions
+    from activitykit.sources.sinks import to_table_layout, write_staging, write_weekly
+
+    root = scratch_path(spark, "weekly")
+    valid = valid_invalid(spark, sf_dir).valid
+    snapshot = None
+    for i, (lo, hi) in enumerate([("2024-01-01", FIRST_BATCH_END), (SECOND_BATCH_START, "2024-01-31")]):
+        sess = _sessionize_valid(filter_kst_range(valid, lo, hi), 300, snapshot)
+        write_staging(to_table_layout(sess), f"{root}/staging-{i}")
+        dates = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{root}/staging-{i}")]
+        publish_partitions(spark, f"{root}/staging-{i}", f"{root}/final", dates, move=True)
+        table = spark.read.parquet(f"{root}/final")
+        write_weekly(weekly_sessions(table, monday_of(lo), monday_of(hi)), f"{root}/weekly")
+        snapshot = build_snapshot(filter_kst_range(table, lo, hi), hi, RUN_ID)
+    return comparable(spark.read.parquet(f"{root}/weekly").select("week_start_kst", "weekly_active_sessions"))
+
+
+def _two_batch_runs(spark, sf_dir, name):
+    from activitykit.plans.batch import BatchConfig, run_batch
+    from activitykit.runtime import scratch_path
+
+    root = scratch_path(spark, name)
+    raw = events_as_activity(spark, sf_dir, dirty=True)
+    tag = root.rsplit("-", 1)[1][:12]
+    results = []
+    for i, (lo, hi) in enumerate([("2024-01-01", FIRST_BATCH_END), (SECOND_BATCH_START, "2024-01-31")]):
+        cfg = BatchConfig(
+            start_date=lo,
+            end_date=hi,
+            run_id=f"run-{i}",
+            output_base_path=f"{root}/final",
+            staging_base_path=f"{root}/staging",
+            dlq_base_path=f"{root}/dlq",
+            session_state_base_path=f"{root}/state",
+            run_log_base_path=f"{root}/log",
+            wau_output_base_path=f"{root}/wau",
+            table_name=f"activity_events_{tag}",
+            wau_users_table=f"wau_users_by_week_{tag}",
+            weekly_sessions_table=f"weekly_active_sessions_by_week_{tag}",
+        )
+        results.append(run_batch(spark, cfg, raw))
+    return root, results
+
+
+def q_batch_weekly_sessions(spark, sf_dir):
+    root, _ = _two_batch_runs(spark, sf_dir, "batch-sessions")
+    path = f"{root}/wau/weekly-active-sessions-by-week"
+    return comparable(spark.read.parquet(path).select("week_start_kst", "weekly_active_sessions"))
+
+
+def q_batch_run_metrics(spark, sf_dir):
+    from activitykit.plans.run_log import read_run_log
+
+    root, _ = _two_batch_runs(spark, sf_dir, "batch-metrics")
+    logs = [read_run_log(spark, f"{root}/log", f"run-{i}").where(F.col("status") == "SUCCESS") for i in (0, 1)]
+    return logs[0].unionByName(logs[1]).select(
+        "run_id",
+        "input_row_count",
+        "valid_row_count",
+        "invalid_row_count",
+        "out_of_range_row_count",
+        "output_row_count",
+        "duplicate_group_count",
+        "duplicate_rows_count",
+        "dropped_duplicate_rows_count",
+        "unique_session_count",
+        "output_partition_count",
+        "output_partition_start",
+        "output_partition_end",
+    )
+
+
+def q_duplicate_groups_export(spark, sf_dir):
+    from activitykit.runtime import scratch_path
+    from activitykit.sources.sinks import export_duplicate_groups
+
+    path = scratch_path(spark, "groups-json")
+    export_duplicate_groups(deduplicate(valid_invalid(spark, sf_dir).valid).duplicate_groups, path)
+    return spark.read.schema(
+        "dedup_key string, duplicate_group_size long, dropped_duplicate_row_count long"
+    ).json(path)
+
+
+WRITING_QUERIES = {
+    "quality_gate": q_quality_gate,
+    "csv_scan": q_csv_scan,
+    "publish_roundtrip": q_publish_roundtrip,
+    "catalog_roundtrip": q_catalog_roundtrip,
+    "incremental_weekly_overwrite": q_incremental_weekly_overwrite,
+    "batch_weekly_sessions": q_batch_weekly_sessions,
+    "batch_run_metrics": q_batch_run_metrics,
+    "duplicate_groups_export": q_duplicate_groups_export,
+}

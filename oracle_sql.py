@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from activitykit.plans.registry import (
     FIRST_BATCH_END,
+    SECOND_BATCH_START,
     RANGE_END,
     RANGE_START,
     RUN_ID,
@@ -335,5 +336,54 @@ SELECT 'wau_users' AS result, COUNT(*) AS week_count,
   CAST(MIN(week_start_kst) AS VARCHAR) AS start_week, CAST(MAX(week_start_kst) AS VARCHAR) AS end_week FROM wu
 UNION ALL
 SELECT 'weekly_active_sessions', COUNT(*), CAST(MIN(week_start_kst) AS VARCHAR), CAST(MAX(week_start_kst) AS VARCHAR) FROM ws"""
-    _ = FIRST_BATCH_END
+    q["quality_gate"] = p + """,
+m AS (
+  SELECT COUNT(*) AS input_row_count,
+    (SELECT COUNT(*) FROM dedup) AS output_row_count,
+    COUNT(*) FILTER (WHERE r1) AS invalid_event_time_count,
+    CAST(COUNT(*) FILTER (WHERE r1 OR r2 OR r3 OR r4 OR r5) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS dlq_ratio
+  FROM flags
+)
+SELECT *,
+  CASE WHEN input_row_count <= 0 OR output_row_count <= 0 OR invalid_event_time_count >= input_row_count
+         OR dlq_ratio > 0.05 THEN 'FAIL'
+       WHEN dlq_ratio > 0.01 THEN 'WARN' ELSE 'PASS' END AS gate_status,
+  CASE WHEN input_row_count <= 0 THEN 'input_row_count must be greater than 0'
+       WHEN output_row_count <= 0 THEN 'output_row_count must be greater than 0'
+       WHEN invalid_event_time_count >= input_row_count THEN 'all rows failed event_time parsing'
+       WHEN dlq_ratio > 0.05 THEN 'dlq_ratio must be <= 0.05 but was ' || printf('%.4f', dlq_ratio)
+       WHEN dlq_ratio > 0.01 THEN 'dlq_ratio warning: ' || printf('%.4f', dlq_ratio) END AS gate_message
+FROM m"""
+    q["csv_scan"] = "WITH " + _norm(True).lstrip() + f"\nSELECT {_norm_select()} FROM norm"
+    table_rows = ", ".join([
+        "raw_user_session", "session_id", "CAST(normalized_price AS VARCHAR) AS price",
+        _ts("event_time_utc"), "CAST(event_date_kst AS VARCHAR) AS event_date_kst",
+    ])
+    q["publish_roundtrip"] = p + f"\nSELECT {table_rows} FROM sess"
+    q["catalog_roundtrip"] = q["wau_users"]
+    q["incremental_weekly_overwrite"] = q["weekly_active_sessions"]
+    q["batch_weekly_sessions"] = q["weekly_active_sessions"]
+    q["duplicate_groups_export"] = q["duplicate_groups"]
+    runs = []
+    for i, (lo, hi) in enumerate([("2024-01-01", FIRST_BATCH_END), (SECOND_BATCH_START, "2024-01-31")]):
+        rng = f"event_date_kst BETWEEN DATE '{lo}' AND DATE '{hi}'"
+        runs.append(f"""
+SELECT 'run-{i}' AS run_id,
+  (SELECT COUNT(*) FROM norm) AS input_row_count,
+  (SELECT COUNT(*) FROM valid WHERE {rng}) AS valid_row_count,
+  (SELECT COUNT(*) FROM invalid) AS invalid_row_count,
+  (SELECT COUNT(*) FROM norm) - (SELECT COUNT(*) FROM invalid) - (SELECT COUNT(*) FROM valid WHERE {rng})
+    AS out_of_range_row_count,
+  (SELECT COUNT(*) FROM sess WHERE {rng}) AS output_row_count,
+  (SELECT COUNT(*) FROM (SELECT dedup_key FROM dedup_keyed WHERE {rng} GROUP BY dedup_key HAVING COUNT(*) > 1))
+    AS duplicate_group_count,
+  (SELECT coalesce(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM dedup_keyed WHERE {rng} GROUP BY dedup_key
+    HAVING COUNT(*) > 1)) AS duplicate_rows_count,
+  (SELECT coalesce(SUM(n - 1), 0) FROM (SELECT COUNT(*) AS n FROM dedup_keyed WHERE {rng} GROUP BY dedup_key
+    HAVING COUNT(*) > 1)) AS dropped_duplicate_rows_count,
+  (SELECT COUNT(DISTINCT session_id) FROM sess WHERE {rng}) AS unique_session_count,
+  (SELECT CAST(COUNT(DISTINCT event_date_kst) AS INTEGER) FROM sess WHERE {rng}) AS output_partition_count,
+  (SELECT CAST(MIN(event_date_kst) AS VARCHAR) FROM sess WHERE {rng}) AS output_partition_start,
+  (SELECT CAST(MAX(event_date_kst) AS VARCHAR) FROM sess WHERE {rng}) AS output_partition_end""")
+    q["batch_run_metrics"] = p + "\n" + "\nUNION ALL".join(runs)
     return q
