@@ -449,7 +449,36 @@ def q_duplicate_groups_export(spark, sf_dir):
     ).json(path)
 
 
+STREAM_CHUNK_ENDS = ["2024-01-08", "2024-01-16", "2024-01-24", "9999-12-31"]
+
+
+def q_streaming_sessions(spark, sf_dir):
+    """The events arrive in four time-ordered drops; after each drop the stream
+    processes what is new (availableNow), continuing sessions through its state."""
+    from activitykit.functions.time import parse_event_time, to_kst
+    from activitykit.runtime import scratch_path
+    from activitykit.schema import RAW_SCHEMA
+    from activitykit.streaming import StreamConfig, read_sessions, start_incremental_sessions
+
+    ensure_utc(spark)
+    root = scratch_path(spark, "stream")
+    raw = events_as_activity(spark, sf_dir, dirty=True)
+    day = F.coalesce(F.to_date(to_kst(parse_event_time("event_time"))), F.lit("0001-01-01").cast("date"))
+    cfg = StreamConfig(f"{root}/out", f"{root}/state", f"{root}/dlq", run_id=RUN_ID,
+                       fallback_target_date=TARGET_DATE)
+    lo = "0001-01-01"
+    for hi in STREAM_CHUNK_ENDS:
+        cond = day.between(F.lit(lo).cast("date"), F.lit(hi).cast("date")) if lo == "0001-01-01" else (
+            (day > F.lit(lo).cast("date")) & (day <= F.lit(hi).cast("date")))
+        raw.where(cond).write.mode("append").parquet(f"{root}/src")
+        stream = spark.readStream.schema(RAW_SCHEMA).parquet(f"{root}/src")
+        start_incremental_sessions(stream, cfg, f"{root}/checkpoint", available_now=True).awaitTermination()
+        lo = hi
+    return _session_rows(read_sessions(spark, f"{root}/out"))
+
+
 WRITING_QUERIES = {
+    "streaming_sessions": q_streaming_sessions,
     "quality_gate": q_quality_gate,
     "csv_scan": q_csv_scan,
     "publish_roundtrip": q_publish_roundtrip,
