@@ -1,19 +1,23 @@
 """Append-only run log, one record per phase, under ``<base>/run_id=<id>``.
 
-Each record is a one-row DataFrame with a fixed schema appended as JSON lines;
-fields left unset are NULL and so absent from the JSON text. The history is the
-folder read back in phase order.
+Each record is one JSON-lines file (a few hundred bytes of driver metadata,
+written through the session's Hadoop FileSystem without a Spark job); fields left
+unset are absent from the text. The history is the folder read back by Spark with
+the fixed schema, in phase order.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activitykit.plans.preflight import run_path
 from activitykit.schema import RUN_LOG_SCHEMA
+from activitykit.sources import fs
 
 LOG_FIELDS = {f.name for f in RUN_LOG_SCHEMA.fields}
 
@@ -46,8 +50,8 @@ class RunLog:
             updated_at=_now(),
             seq=self._seq,
         )
-        row = [record[f.name] for f in RUN_LOG_SCHEMA.fields]
-        self.spark.createDataFrame([row], RUN_LOG_SCHEMA).coalesce(1).write.mode("append").json(self.path)
+        text = json.dumps({f.name: record[f.name] for f in RUN_LOG_SCHEMA.fields if record[f.name] is not None})
+        fs.write_text(self.spark, f"{self.path}/record-{self._seq:04d}-{uuid.uuid4().hex[:8]}.json", text + "\n")
         return record
 
 

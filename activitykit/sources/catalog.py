@@ -33,14 +33,23 @@ def create_weekly_table(spark: SparkSession, name: str, metric: str, location: s
 def add_partitions(
     spark: SparkSession, table: str, base: str, values: list[str], column: str = "event_date_kst"
 ) -> list[str]:
-    """Registers each distinct value (sorted): ADD IF NOT EXISTS, then SET LOCATION,
-    so an existing partition is re-pointed. Returns the registered values."""
-    registered = []
-    for value in sorted(set(values)):
-        loc = fs.qualified(spark, f"{base.rstrip('/')}/{column}={value}")
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({column}='{value}') LOCATION '{loc}'")
-        spark.sql(f"ALTER TABLE {table} PARTITION ({column}='{value}') SET LOCATION '{loc}'")
-        registered.append(value)
+    """Registers each distinct value (sorted) at ``<base>/<column>=<value>``: new
+    partitions in one ADD IF NOT EXISTS statement, partitions that already exist
+    re-pointed with SET LOCATION. Returns the registered values."""
+    registered = sorted(set(values))
+    if not registered:
+        return registered
+    existing = {
+        r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()
+    }
+    locations = {v: fs.qualified(spark, f"{base.rstrip('/')}/{column}={v}") for v in registered}
+    new = [v for v in registered if v not in existing]
+    if new:
+        specs = " ".join(f"PARTITION ({column}='{v}') LOCATION '{locations[v]}'" for v in new)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    for v in registered:
+        if v in existing:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({column}='{v}') SET LOCATION '{locations[v]}'")
     spark.catalog.refreshTable(table)
     return registered
 

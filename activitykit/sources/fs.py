@@ -53,3 +53,18 @@ def qualified(spark: SparkSession, path: str) -> str:
     """Fully qualified form of ``path`` (scheme and absolute path), for catalog locations."""
     fs, p = _path(spark, path)
     return str(fs.makeQualified(p).toString())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small text file (metadata such as a log record) atomically: a hidden
+    temporary name, then a rename; readers skip names starting with ``.``."""
+    fs, p = _path(spark, path)
+    tmp = p.getParent().suffix(f"/.{p.getName()}.tmp")
+    fs.mkdirs(p.getParent())
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if not fs.rename(tmp, p):
+        raise OSError(f"rename failed: {tmp} -> {path}")
