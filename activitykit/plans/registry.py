@@ -36,7 +36,7 @@ from activitykit.operators.weekly import (
     weekly_users,
 )
 from activitykit.runtime import ensure_utc
-from activitykit.sources.events import events_as_activity
+from activitykit.sources.events import events_as_activity, read_events
 
 # Fixed run parameters of the registered queries (the job's command-line values).
 RUN_ID = "sf-run"
@@ -84,17 +84,26 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sessionized(spark: SparkSession, sf_dir: str, gap: int = 300, **kw) -> DataFrame:
-    return _sessionize_valid(valid_invalid(spark, sf_dir).valid, gap, **kw)
+    return _sessionize_valid(spark, sf_dir, valid_invalid(spark, sf_dir).valid, gap, **kw)
 
 
-def _sessionize_valid(valid: DataFrame, gap: int, previous_snapshot: DataFrame | None = None, **kw) -> DataFrame:
-    """Dedup + sessionize; hot users are found from the valid rows (before the dedup
-    shuffle), which have the same first/last times per user and an upper bound of rows."""
+def source_user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and first/last second per user from a two-column scan of the source
+    table (user_id, ts), without the adapter and dedup work. Each count is an upper
+    bound and each first second is at or before the real one, which is all the
+    hot-user split needs."""
+    events = read_events(spark, sf_dir)
+    return user_activity_stats(events.select("user_id", F.col("ts").cast("timestamp").alias("event_time_utc")))
+
+
+def _sessionize_valid(
+    spark: SparkSession, sf_dir: str, valid: DataFrame, gap: int, previous_snapshot: DataFrame | None = None, **kw
+) -> DataFrame:
     return sessionize(
         deduplicate(valid).deduplicated,
         previous_snapshot,
         gap_seconds=gap,
-        user_stats=user_activity_stats(valid),
+        user_stats=source_user_stats(spark, sf_dir),
         **kw,
     )
 
@@ -170,9 +179,11 @@ def q_sessionize_hot_split(spark, sf_dir):
 def _two_batches(spark, sf_dir, gap, **kw) -> DataFrame:
     """Days up to FIRST_BATCH_END, then the rest seeded by the first run's snapshot."""
     valid = valid_invalid(spark, sf_dir).valid
-    first = _sessionize_valid(filter_kst_range(valid, "0001-01-01", FIRST_BATCH_END), gap, **kw)
+    first = _sessionize_valid(spark, sf_dir, filter_kst_range(valid, "0001-01-01", FIRST_BATCH_END), gap, **kw)
     snap = build_snapshot(first, FIRST_BATCH_END, RUN_ID)
-    second = _sessionize_valid(filter_kst_range(valid, SECOND_BATCH_START, "9999-12-31"), gap, snap, **kw)
+    second = _sessionize_valid(
+        spark, sf_dir, filter_kst_range(valid, SECOND_BATCH_START, "9999-12-31"), gap, snap, **kw
+    )
     return first.unionByName(second)
 
 
@@ -248,7 +259,7 @@ def q_stage_counts(spark, sf_dir):
             "valid": valid,
             "invalid": invalid,
             "deduplicated": dedup,
-            "sessionized": sessionize(dedup, user_stats=user_activity_stats(valid)),
+            "sessionized": sessionize(dedup, user_stats=source_user_stats(spark, sf_dir)),
         }
     )
 
@@ -373,7 +384,7 @@ def q_incremental_weekly_overwrite(spark, sf_dir):
     valid = valid_invalid(spark, sf_dir).valid
     snapshot = None
     for i, (lo, hi) in enumerate([("2024-01-01", FIRST_BATCH_END), (SECOND_BATCH_START, "2024-01-31")]):
-        sess = _sessionize_valid(filter_kst_range(valid, lo, hi), 300, snapshot)
+        sess = _sessionize_valid(spark, sf_dir, filter_kst_range(valid, lo, hi), 300, snapshot)
         write_staging(to_table_layout(sess), f"{root}/staging-{i}")
         dates = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{root}/staging-{i}")]
         publish_partitions(spark, f"{root}/staging-{i}", f"{root}/final", dates, move=True)
