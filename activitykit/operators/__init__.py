@@ -25,8 +25,10 @@ from activitykit.operators.weekly import (
     affected_weeks_of,
     week_filter,
     weekly_sessions,
+    weekly_sessions_sql,
     weekly_summary,
     weekly_users,
+    weekly_users_sql,
     with_all_weeks,
 )
 
@@ -54,8 +56,10 @@ __all__ = [
     "validate",
     "week_filter",
     "weekly_sessions",
+    "weekly_sessions_sql",
     "weekly_summary",
     "weekly_users",
+    "weekly_users_sql",
     "with_all_weeks",
     "with_dedup_key",
 ]

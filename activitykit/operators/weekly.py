@@ -109,3 +109,57 @@ def with_all_weeks(weekly: DataFrame, weeks: DataFrame, value_col: str) -> DataF
         weeks.join(weekly, "week_start_kst", "left")
         .select("week_start_kst", F.coalesce(F.col(value_col), F.lit(0)).cast("long").alias(value_col))
     )
+
+
+# The same two aggregates as parameterized SQL over a catalog table or view. The
+# table is bound with IDENTIFIER and the bounds as typed parameters, so nothing is
+# spliced into the text; NULL bounds fold away and the rest reaches the scan.
+_RANGE = """
+  (:week_from IS NULL OR {week} >= :week_from)
+  AND (:week_to IS NULL OR {week} <= :week_to)
+  AND (:day_from IS NULL OR event_date_kst >= :day_from)
+  AND (:day_to IS NULL OR event_date_kst <= :day_to)"""
+
+WAU_USERS_SQL = f"""
+SELECT week_start_kst, COUNT(DISTINCT user_id) AS wau_users
+FROM IDENTIFIER(:table)
+WHERE {_RANGE.format(week="week_start_kst")}
+GROUP BY week_start_kst
+ORDER BY week_start_kst"""
+
+WEEKLY_SESSIONS_SQL = f"""
+WITH sessions AS (
+  SELECT DISTINCT session_id, session_start_week_kst AS week_start_kst
+  FROM IDENTIFIER(:table)
+  WHERE {_RANGE.format(week="session_start_week_kst")}
+)
+SELECT week_start_kst, COUNT(*) AS weekly_active_sessions
+FROM sessions
+GROUP BY week_start_kst
+ORDER BY week_start_kst"""
+
+
+def _sql_args(table: str, week_from: str | None, week_to: str | None) -> dict:
+    def d(v):
+        return dt.date.fromisoformat(v) if v else None
+
+    last_day = (dt.date.fromisoformat(week_to) + dt.timedelta(days=6)).isoformat() if week_to else None
+    return {
+        "table": table,
+        "week_from": d(week_from),
+        "week_to": d(week_to),
+        "day_from": d(week_from),
+        "day_to": d(last_day),
+    }
+
+
+def weekly_users_sql(spark: SparkSession, table: str, week_from: str | None = None,
+                     week_to: str | None = None) -> DataFrame:
+    """O39 as SQL over a table with event_date_kst, week_start_kst and user_id."""
+    return spark.sql(WAU_USERS_SQL, args=_sql_args(table, week_from, week_to))
+
+
+def weekly_sessions_sql(spark: SparkSession, table: str, week_from: str | None = None,
+                        week_to: str | None = None) -> DataFrame:
+    """O40 as SQL: distinct (session, start week) in a CTE, then a count per week."""
+    return spark.sql(WEEKLY_SESSIONS_SQL, args=_sql_args(table, week_from, week_to))

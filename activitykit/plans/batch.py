@@ -13,7 +13,8 @@ Spark jobs, and what they read:
      with output, duplicate and session counts observed on the same pass;
   4. publish: per-day renames (metadata only);
   5. snapshot: a max-struct aggregate over the just-published days;
-  6. weekly: distinct counts over the catalog table, pruned to the affected days.
+  6. weekly: parameterized SQL over the catalog table (distinct users, distinct
+     sessions), pruned to the affected weeks' days.
 No count is taken by a separate full pass and nothing data-sized is collected.
 """
 
@@ -34,7 +35,7 @@ from activitykit.operators.normalize import normalize
 from activitykit.operators.sessionize import DEFAULT_MAX_USER_ROWS, sessionize, user_activity_stats
 from activitykit.operators.snapshot import build_snapshot
 from activitykit.operators.validate import filter_kst_range, validate
-from activitykit.operators.weekly import affected_weeks, weekly_sessions, weekly_users, with_all_weeks
+from activitykit.operators.weekly import affected_weeks, weekly_sessions_sql, weekly_users_sql, with_all_weeks
 from activitykit.plans.preflight import preflight, run_path
 from activitykit.plans.quality import evaluate
 from activitykit.plans.run_log import RunLog
@@ -149,8 +150,7 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
         F.count(F.lit(1)).alias("input_row_count"),
         F.count_if(is_invalid()).alias("invalid_row_count"),
     )
-    valid, invalid = validate(observed, config.start_date)
-    write_dlq(invalid, config.dlq_path)
+    write_dlq(validate(observed, config.start_date).invalid, config.dlq_path)
     input_counts = seen.get
     input_rows, invalid_rows = input_counts["input_row_count"], input_counts["invalid_row_count"]
     dlq_rate = ratio(invalid_rows, input_rows)
@@ -276,15 +276,14 @@ _SUCCESS_FIELDS = {
 def _weekly(spark: SparkSession, config: BatchConfig, week_from: str, week_to: str) -> dict:
     """Recomputes only the affected weeks from the catalog table and rewrites only
     their partitions. Every affected week gets a row (0 if it has no activity)."""
-    table = catalog.read_table(spark, config.table_name)
     weeks = affected_weeks(spark, config.start_date, config.end_date)
     week_values = _week_list(config.start_date, config.end_date)
     out = {}
     for prefix, result, metric, path, name in [
-        ("wau_users", weekly_users(table, week_from, week_to), "wau_users",
+        ("wau_users", weekly_users_sql(spark, config.table_name, week_from, week_to), "wau_users",
          config.wau_users_path, config.wau_users_table),
-        ("weekly_active_sessions", weekly_sessions(table, week_from, week_to), "weekly_active_sessions",
-         config.weekly_sessions_path, config.weekly_sessions_table),
+        ("weekly_active_sessions", weekly_sessions_sql(spark, config.table_name, week_from, week_to),
+         "weekly_active_sessions", config.weekly_sessions_path, config.weekly_sessions_table),
     ]:
         write_weekly(with_all_weeks(result, weeks, metric), path)
         catalog.create_weekly_table(spark, name, metric, path)

@@ -227,6 +227,28 @@ def q_wau_users_to(spark, sf_dir):
     return comparable(weekly_users(sessionized(spark, sf_dir), week_to=WEEK_TO))
 
 
+def _view(spark, df: DataFrame, name: str) -> str:
+    import uuid
+
+    view = f"{name}_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(view)
+    return view
+
+
+def q_wau_users_sql(spark, sf_dir):
+    from activitykit.operators.weekly import weekly_users_sql
+
+    view = _view(spark, sessionized(spark, sf_dir), "activity_events")
+    return comparable(weekly_users_sql(spark, view, WEEK_FROM, WEEK_TO))
+
+
+def q_weekly_active_sessions_sql(spark, sf_dir):
+    from activitykit.operators.weekly import weekly_sessions_sql
+
+    view = _view(spark, sessionized(spark, sf_dir), "activity_events")
+    return comparable(weekly_sessions_sql(spark, view, WEEK_FROM, WEEK_TO))
+
+
 def q_unique_sessions(spark, sf_dir):
     return unique_sessions(sessionized(spark, sf_dir))
 
@@ -297,6 +319,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "weekly_active_sessions": q_weekly_active_sessions,
         "weekly_active_sessions_range": q_weekly_active_sessions_range,
         "weekly_active_sessions_from": q_weekly_active_sessions_from,
+        "wau_users_sql": q_wau_users_sql,
+        "weekly_active_sessions_sql": q_weekly_active_sessions_sql,
         "unique_sessions": q_unique_sessions,
         "output_partitions": q_output_partitions,
         "output_partition_summary": q_output_partition_summary,

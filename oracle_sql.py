@@ -365,6 +365,8 @@ FROM m"""
     q["batch_weekly_sessions"] = q["weekly_active_sessions"]
     q["duplicate_groups_export"] = q["duplicate_groups"]
     q["streaming_sessions"] = q["sessionize_300"]
+    q["wau_users_sql"] = q["wau_users_range"]
+    q["weekly_active_sessions_sql"] = q["weekly_active_sessions_range"]
     runs = []
     for i, (lo, hi) in enumerate([("2024-01-01", FIRST_BATCH_END), (SECOND_BATCH_START, "2024-01-31")]):
         rng = f"event_date_kst BETWEEN DATE '{lo}' AND DATE '{hi}'"
