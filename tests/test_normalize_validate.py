@@ -107,3 +107,27 @@ def test_range_filter_reaches_parquet_scan(spark, out_dir):
     df.write.partitionBy("event_date_kst").parquet(path)
     plan = plan_text(filter_kst_range(spark.read.parquet(path), "2019-10-02", "2019-10-03"))
     assert "PartitionFilters" in plan and "event_date_kst" in plan
+
+
+def test_csv_malformed_numbers_become_null(spark, out_dir):
+    from activitykit import read_activity_csv
+
+    path = f"{out_dir}/in.csv"
+    with open(path, "w") as f:
+        f.write("event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n")
+        f.write("2019-10-01 00:00:00 UTC,view,1001,2001,electronics.audio,sony,10.5,3001,ok\n")
+        f.write("2019-10-01 00:00:00 UTC,view,abc,2001,electronics.audio,sony,10.5,3001,bad-product\n")
+        f.write("2019-10-01 00:00:00 UTC,view,1001,2001,electronics.audio,sony,cheap,3001,bad-price\n")
+        f.write("2019-10-01 00:00:00 UTC,view,1001,2001,,,10.5,,no-user\n")
+    raw = read_activity_csv(spark, path)
+    valid, invalid = validate(normalize(raw, "r"), "2019-10-01")
+    assert sorted(r.raw_user_session for r in valid.collect()) == ["bad-price", "ok"]
+    assert {r.raw_user_session: r.reject_reason for r in invalid.collect()} == {
+        "bad-product": "NULL_PRODUCT_ID",
+        "no-user": "NULL_USER_ID",
+    }
+    # the header is not matched by name: columns are taken by position
+    header_swapped = f"{out_dir}/swapped.csv"
+    with open(header_swapped, "w") as f:
+        f.write("a,b,c,d,e,f,g,h,i\n2019-10-01 00:00:00 UTC,view,1,2,x,y,1.0,7,s\n")
+    assert read_activity_csv(spark, header_swapped).first().user_id == 7
