@@ -81,8 +81,9 @@ def sessionize(
     """Deduplicated rows (S3) → rows with session_start_time_utc/kst,
     session_start_week_kst and session_id (S4), same row count.
 
-    ``user_stats`` (from :func:`user_activity_stats`, on this input or a superset
-    with the same first events) saves the pre-pass that finds hot users;
+    ``user_stats`` (from :func:`user_activity_stats`, on this input or on any cheaper
+    source of per-user counts and time spans) saves the pre-pass that finds hot
+    users; it only decides where users are cut, never the result;
     ``max_user_rows=None`` skips the split. ``with_session_opened`` keeps a boolean
     ``session_opened`` that is true on the first row of each session id, so the
     number of sessions is a plain sum.
@@ -117,9 +118,12 @@ def sessionize(
     else:
         parts = ["user_id", "_chunk", "_hot"]
         rows = rows.join(_side(hot, n_hot, broadcast_row_limit), "user_id", "left")
+        # Any chunk number that never decreases along a user's order gives exact
+        # results; clamping at 0 keeps the seed's chunk first even when the stats
+        # came from another source than this input.
         chunk = (
             F.when((F.col("_src") == 1) & F.col("_width").isNotNull(),
-                   F.floor((epoch_seconds(t) - F.col("_min_sec")) / F.col("_width")))
+                   F.greatest(F.floor((epoch_seconds(t) - F.col("_min_sec")) / F.col("_width")), F.lit(0)))
             .otherwise(F.lit(0))
             .cast("long")
         )

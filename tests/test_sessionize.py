@@ -145,3 +145,12 @@ def test_single_shuffle_without_hot_users(spark):
     plan = plan_text(s)
     # one exchange for dedup (dedup_key) and one for the session window (user_id)
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_split_exact_with_stats_from_another_source(spark):
+    # stats that miss the early rows and undercount: cuts move, results do not
+    dedup = deduplicated(spark, SF_MID)
+    late = dedup.where(F.col("event_time_utc") > F.lit("2024-01-10").cast("timestamp"))
+    plain = sessionize(dedup, max_user_rows=None)
+    split = sessionize(dedup, max_user_rows=3, user_stats=__import__("activitykit").user_activity_stats(late))
+    assert _rows(plain) == _rows(split)
