@@ -92,7 +92,7 @@ def source_user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     table (user_id, ts), without the adapter and dedup work. Each count is an upper
     bound and each first second is at or before the real one, which is all the
     hot-user split needs."""
-    events = read_events(spark, sf_dir)
+    events = read_events(spark, sf_dir, spread=False)
     return user_activity_stats(events.select("user_id", F.col("ts").cast("timestamp").alias("event_time_utc")))
 
 

@@ -29,8 +29,17 @@ DIRT_DUPLICATE = 37
 BAD_TIME_TEXT = "bad-time"
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+def read_events(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    """The events table. With ``spread``, an input that scans as fewer splits than
+    the session has cores (a small file holding one row group) is hash-spread on
+    event_id, so the row-wise adapter and normalization work uses every core. A
+    large input already has more splits than cores and is left as it is."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores, "event_id")
+    return df
 
 
 def events_as_activity(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
