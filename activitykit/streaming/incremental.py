@@ -16,7 +16,10 @@ kept in ``<state>/batch_id=N``. The next state is the batch's snapshot plus the
 previous state's rows of users absent from the batch (a left-anti join on
 user_id), so a user idle for several batches still continues correctly when the
 gap allows it. Late rows (older than a user's state) open a new session, as in a
-batch re-run.
+batch re-run. Only the two newest states are kept.
+
+Output accumulates one folder per micro-batch; a long-running stream needs the
+usual periodic compaction of its small files, which is outside this module.
 """
 
 from __future__ import annotations
@@ -92,6 +95,10 @@ def process_micro_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> N
         idle = previous.join(written.select("user_id").distinct(), "user_id", "left_anti")
         snapshot = snapshot.unionByName(idle.select(*snapshot.columns))
     snapshot.write.mode("overwrite").parquet(_batch_dir(cfg.state_path, batch_id))
+    # Keep the state a retry of this batch reads (batch_id - 1) and this one.
+    for d in fs.list_dirs(spark, cfg.state_path):
+        if d.startswith("batch_id=") and int(d.split("=", 1)[1]) < batch_id - 1:
+            fs.delete(spark, f"{cfg.state_path.rstrip('/')}/{d}")
 
 
 def start_incremental_sessions(

@@ -31,6 +31,9 @@ def test_state_carries_and_retries_are_idempotent(spark, raw, out_dir):
     ]
     state = latest_state(spark, cfg.state_path, 3)
     assert state.count() == 2
+    import os
+
+    assert sorted(os.listdir(cfg.state_path)) == ["batch_id=1", "batch_id=2"]
     dlq = spark.read.parquet(cfg.dlq_path).collect()
     assert [(r.raw_user_session, r.reject_reason, str(r.target_date)) for r in dlq] == [
         ("bad", "INVALID_EVENT_TIME", "2019-10-01")]
