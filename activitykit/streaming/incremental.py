@@ -56,13 +56,16 @@ def _batch_dir(base: str, batch_id: int) -> str:
     return f"{base.rstrip('/')}/batch_id={batch_id}"
 
 
-def latest_state(spark: SparkSession, state_path: str, before: int) -> DataFrame | None:
-    """State written by the newest micro-batch before ``before`` (None at the start)."""
+def _latest_state_id(spark: SparkSession, state_path: str, before: int) -> int | None:
     ids = [int(d.split("=", 1)[1]) for d in fs.list_dirs(spark, state_path) if d.startswith("batch_id=")]
     ids = [i for i in ids if i < before and fs.exists(spark, f"{_batch_dir(state_path, i)}/_SUCCESS")]
-    if not ids:
-        return None
-    return spark.read.parquet(_batch_dir(state_path, max(ids)))
+    return max(ids) if ids else None
+
+
+def latest_state(spark: SparkSession, state_path: str, before: int) -> DataFrame | None:
+    """State written by the newest micro-batch before ``before`` (None at the start)."""
+    state_id = _latest_state_id(spark, state_path, before)
+    return None if state_id is None else spark.read.parquet(_batch_dir(state_path, state_id))
 
 
 def process_micro_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> None:
@@ -75,7 +78,8 @@ def process_micro_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> N
     valid, invalid = validate(normalized, cfg.fallback_target_date or today_kst().isoformat())
     invalid.write.mode("overwrite").partitionBy("target_date").parquet(_batch_dir(cfg.dlq_path, batch_id))
 
-    previous = latest_state(spark, cfg.state_path, batch_id)
+    previous_id = _latest_state_id(spark, cfg.state_path, batch_id)
+    previous = None if previous_id is None else spark.read.parquet(_batch_dir(cfg.state_path, previous_id))
     sess = sessionize(
         deduplicate(valid).deduplicated,
         previous,
@@ -95,10 +99,11 @@ def process_micro_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> N
         idle = previous.join(written.select("user_id").distinct(), "user_id", "left_anti")
         snapshot = snapshot.unionByName(idle.select(*snapshot.columns))
     snapshot.write.mode("overwrite").parquet(_batch_dir(cfg.state_path, batch_id))
-    # Keep the state a retry of this batch reads (batch_id - 1) and this one.
-    for d in fs.list_dirs(spark, cfg.state_path):
-        if d.startswith("batch_id=") and int(d.split("=", 1)[1]) < batch_id - 1:
-            fs.delete(spark, f"{cfg.state_path.rstrip('/')}/{d}")
+    # Keep the state this batch read (a retry reads it again) and the new one.
+    if previous_id is not None:
+        for d in fs.list_dirs(spark, cfg.state_path):
+            if d.startswith("batch_id=") and int(d.split("=", 1)[1]) < previous_id:
+                fs.delete(spark, f"{cfg.state_path.rstrip('/')}/{d}")
 
 
 def start_incremental_sessions(

@@ -37,3 +37,13 @@ def test_state_carries_and_retries_are_idempotent(spark, raw, out_dir):
     dlq = spark.read.parquet(cfg.dlq_path).collect()
     assert [(r.raw_user_session, r.reject_reason, str(r.target_date)) for r in dlq] == [
         ("bad", "INVALID_EVENT_TIME", "2019-10-01")]
+
+
+def test_state_survives_an_empty_batch(spark, raw, out_dir):
+    cfg = StreamConfig(f"{out_dir}/out", f"{out_dir}/state", f"{out_dir}/dlq", fallback_target_date="2019-10-01")
+    process_micro_batch(raw([raw_row(event_time="2019-10-01 14:58:00 UTC", user_session="a")]), 0, cfg)
+    process_micro_batch(raw([]), 1, cfg)  # nothing arrived: no state written
+    b2 = raw([raw_row(event_time="2019-10-01 15:01:00 UTC", user_session="b")])
+    process_micro_batch(b2, 2, cfg)
+    process_micro_batch(b2, 2, cfg)  # retried after its state was written
+    assert _rows(spark, cfg.output_path) == [("a", "14:58:00", 0), ("b", "14:58:00", 2)]
