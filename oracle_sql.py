@@ -380,10 +380,10 @@ SELECT 'run-{i}' AS run_id,
   (SELECT COUNT(*) FROM sess WHERE {rng}) AS output_row_count,
   (SELECT COUNT(*) FROM (SELECT dedup_key FROM dedup_keyed WHERE {rng} GROUP BY dedup_key HAVING COUNT(*) > 1))
     AS duplicate_group_count,
-  (SELECT coalesce(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM dedup_keyed WHERE {rng} GROUP BY dedup_key
-    HAVING COUNT(*) > 1)) AS duplicate_rows_count,
-  (SELECT coalesce(SUM(n - 1), 0) FROM (SELECT COUNT(*) AS n FROM dedup_keyed WHERE {rng} GROUP BY dedup_key
-    HAVING COUNT(*) > 1)) AS dropped_duplicate_rows_count,
+  (SELECT CAST(coalesce(SUM(n), 0) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM dedup_keyed WHERE {rng}
+    GROUP BY dedup_key HAVING COUNT(*) > 1)) AS duplicate_rows_count,
+  (SELECT CAST(coalesce(SUM(n - 1), 0) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM dedup_keyed WHERE {rng}
+    GROUP BY dedup_key HAVING COUNT(*) > 1)) AS dropped_duplicate_rows_count,
   (SELECT COUNT(DISTINCT session_id) FROM sess WHERE {rng}) AS unique_session_count,
   (SELECT CAST(COUNT(DISTINCT event_date_kst) AS INTEGER) FROM sess WHERE {rng}) AS output_partition_count,
   (SELECT CAST(MIN(event_date_kst) AS VARCHAR) FROM sess WHERE {rng}) AS output_partition_start,

@@ -22,3 +22,14 @@ def test_query_matches_oracle(spark, name):
     res = compare(spark, SF_SMALL, [name], verbose=False)[name]
     assert "error" not in res, res
     assert res["cols_match"] and res["rows_match"] and res["values_match"], res
+
+
+@pytest.mark.parametrize("name", ["wau_users", "duplicate_metrics", "dlq_ratio", "quality_gate", "stage_counts"])
+def test_result_types_match(spark, name):
+    from compare import duck
+
+    names = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "date": "DATE"}
+    spark_types = {f.name: names.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in entry.queries()[name](spark, SF_SMALL).schema.fields}
+    rel = duck(SF_SMALL).sql(entry.oracle_sql()[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
