@@ -222,13 +222,10 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
         output_partition_end=m["output_partition_end"],
         **base,
     )
-    publish_partitions(spark, config.staging_path, config.output_base_path, dates, move=True)
+    published_paths = publish_partitions(spark, config.staging_path, config.output_base_path, dates, move=True)
     cleanup_path(spark, config.staging_path)
-    published = filter_kst_range(
-        spark.read.option("basePath", config.output_base_path).parquet(config.output_base_path),
-        config.start_date,
-        config.end_date,
-    )
+    # Exactly the days this run published (a written table: no recomputation).
+    published = spark.read.option("basePath", config.output_base_path).parquet(*published_paths)
     snapshot = build_snapshot(published, config.end_date, config.run_id)
     m["session_snapshot_path"] = save_snapshot(snapshot, config.session_state_base_path, config.end_date)
 
