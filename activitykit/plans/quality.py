@@ -12,7 +12,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activitykit.schema import DLQ_FAIL_RATIO, DLQ_WARN_RATIO, REASON_INVALID_EVENT_TIME
+from activitykit.schema import (
+    DLQ_FAIL_RATIO,
+    DLQ_WARN_RATIO,
+    GATE_ALL_BAD_TIME,
+    GATE_INPUT_EMPTY,
+    GATE_OUTPUT_EMPTY,
+    GATE_RATIO_FAIL_PREFIX,
+    GATE_RATIO_WARN_PREFIX,
+    REASON_INVALID_EVENT_TIME,
+)
 
 
 class QualityGateError(ValueError):
@@ -36,14 +45,14 @@ def evaluate(
     invalid_reason_summary: dict[str, int] | None = None,
 ) -> GateResult:
     if input_rows <= 0:
-        raise QualityGateError("input_row_count must be greater than 0")
+        raise QualityGateError(GATE_INPUT_EMPTY)
     if output_rows <= 0:
-        raise QualityGateError("output_row_count must be greater than 0")
+        raise QualityGateError(GATE_OUTPUT_EMPTY)
     if invalid_event_time_count(invalid_reason_summary or {}) >= input_rows:
-        raise QualityGateError("all rows failed event_time parsing")
+        raise QualityGateError(GATE_ALL_BAD_TIME)
     if dlq_ratio > DLQ_FAIL_RATIO:
-        raise QualityGateError(f"dlq_ratio must be <= {DLQ_FAIL_RATIO:.2f} but was {dlq_ratio:.4f}")
-    warnings = [f"dlq_ratio warning: {dlq_ratio:.4f}"] if dlq_ratio > DLQ_WARN_RATIO else []
+        raise QualityGateError(f"{GATE_RATIO_FAIL_PREFIX}{dlq_ratio:.4f}")
+    warnings = [f"{GATE_RATIO_WARN_PREFIX}{dlq_ratio:.4f}"] if dlq_ratio > DLQ_WARN_RATIO else []
     return GateResult(warnings)
 
 
@@ -59,14 +68,11 @@ def gate_columns(input_rows: Column, output_rows: Column, bad_time_rows: Column,
         .otherwise("PASS")
     )
     message = (
-        F.when(input_rows <= 0, F.lit("input_row_count must be greater than 0"))
-        .when(output_rows <= 0, F.lit("output_row_count must be greater than 0"))
-        .when(bad_time_rows >= input_rows, F.lit("all rows failed event_time parsing"))
-        .when(
-            dlq_ratio > F.lit(DLQ_FAIL_RATIO),
-            F.concat(F.lit(f"dlq_ratio must be <= {DLQ_FAIL_RATIO:.2f} but was "), ratio_text),
-        )
-        .when(dlq_ratio > F.lit(DLQ_WARN_RATIO), F.concat(F.lit("dlq_ratio warning: "), ratio_text))
+        F.when(input_rows <= 0, F.lit(GATE_INPUT_EMPTY))
+        .when(output_rows <= 0, F.lit(GATE_OUTPUT_EMPTY))
+        .when(bad_time_rows >= input_rows, F.lit(GATE_ALL_BAD_TIME))
+        .when(dlq_ratio > F.lit(DLQ_FAIL_RATIO), F.concat(F.lit(GATE_RATIO_FAIL_PREFIX), ratio_text))
+        .when(dlq_ratio > F.lit(DLQ_WARN_RATIO), F.concat(F.lit(GATE_RATIO_WARN_PREFIX), ratio_text))
     )
     return [status.alias("gate_status"), message.alias("gate_message")]
 

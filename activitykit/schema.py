@@ -42,6 +42,12 @@ STATUS_REGISTERING = "REGISTERING_HIVE"
 STATUS_COMPUTING_WAU = "COMPUTING_WAU"
 STATUS_SUCCESS = "SUCCESS"
 STATUS_FAILED = "FAILED"
+# Quality-gate messages (a failing or warning ratio follows, with four decimals).
+GATE_INPUT_EMPTY = "input_row_count must be greater than 0"
+GATE_OUTPUT_EMPTY = "output_row_count must be greater than 0"
+GATE_ALL_BAD_TIME = "all rows failed event_time parsing"
+GATE_RATIO_FAIL_PREFIX = "dlq_ratio must be <= 0.05 but was "
+GATE_RATIO_WARN_PREFIX = "dlq_ratio warning: "
 # Default table names.
 ACTIVITY_TABLE = "activity_events"
 WAU_USERS_TABLE = "wau_users_by_week"
