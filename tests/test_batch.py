@@ -91,3 +91,18 @@ def test_failures_are_logged_and_nothing_published(spark, tmp_path):
     # the run id is now used: a second attempt is refused by preflight
     with pytest.raises(PreflightError, match="already exists"):
         run_batch(spark, _cfg(root, "bad-1", "2024-01-01", "2024-01-31"), raw)
+
+
+def test_batch_reads_csv_input(spark, tmp_path):
+    from activitykit import write_activity_csv
+
+    root = str(tmp_path)
+    raw = events_as_activity(spark, SF_SMALL, dirty=True)
+    write_activity_csv(raw, f"{root}/input")
+    m = run_batch(spark, _cfg(root, "csv-1", "2024-01-01", "2024-01-31", input_path=f"{root}/input"))
+    expected = run_batch(spark, _cfg(str(tmp_path / "df"), "dfr-1", "2024-01-01", "2024-01-31"), raw)
+    keys = ["input_row_count", "invalid_row_count", "valid_row_count", "output_row_count", "unique_session_count",
+            "duplicate_group_count", "output_partition_count"]
+    assert {k: m[k] for k in keys} == {k: expected[k] for k in keys}
+    with pytest.raises(PreflightError, match="input-path does not exist"):
+        run_batch(spark, _cfg(root, "csv-2", "2024-01-01", "2024-01-31", input_path=f"{root}/missing"))
