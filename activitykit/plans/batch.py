@@ -21,6 +21,7 @@ No count is taken by a separate full pass and nothing data-sized is collected.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -144,7 +145,7 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
 
     # Job 1: dead-letter rows, with input-wide counts observed on the same scan.
     log.log(STATUS_VALIDATING, **base)
-    seen = Observation("input")
+    seen = Observation(f"input-{config.run_id}-{uuid.uuid4().hex[:8]}")
     observed = normalized.observe(
         seen,
         F.count(F.lit(1)).alias("input_row_count"),
@@ -182,7 +183,7 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
         with_session_opened=True,
     )
     size = F.col("duplicate_group_size")
-    out = Observation("output")
+    out = Observation(f"output-{config.run_id}-{uuid.uuid4().hex[:8]}")
     staged = sess.observe(
         out,
         F.count(F.lit(1)).alias("output_row_count"),
