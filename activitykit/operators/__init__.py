@@ -17,7 +17,12 @@ from activitykit.operators.metrics import (
     unique_sessions,
 )
 from activitykit.operators.normalize import normalize
-from activitykit.operators.sessionize import first_event_per_user, sessionize, user_activity_stats
+from activitykit.operators.sessionize import (
+    first_event_per_user,
+    release_hot_user_tables,
+    sessionize,
+    user_activity_stats,
+)
 from activitykit.operators.snapshot import build_snapshot
 from activitykit.operators.validate import ValidationResult, filter_kst_range, validate
 from activitykit.operators.weekly import (
@@ -49,6 +54,7 @@ __all__ = [
     "output_partitions",
     "reason_display",
     "reason_histogram",
+    "release_hot_user_tables",
     "sessionize",
     "stage_counts",
     "unique_sessions",

@@ -42,6 +42,17 @@ def _ts_null():
     return F.lit(None).cast("timestamp")
 
 
+# Hot-user tables cached by sessionize; the plans that consume them run later, so
+# callers release them once their writes are done (see release_hot_user_tables).
+_CACHED_HOT: list[DataFrame] = []
+
+
+def release_hot_user_tables() -> None:
+    """Unpersists the hot-user tables cached by earlier sessionize calls."""
+    while _CACHED_HOT:
+        _CACHED_HOT.pop().unpersist()
+
+
 def user_activity_stats(df: DataFrame) -> DataFrame:
     """Rows and first/last whole second per user (a partial aggregate, skew-safe)."""
     sec = epoch_seconds("event_time_utc")
@@ -111,6 +122,8 @@ def sessionize(
         if n_hot == 0:
             hot.unpersist()
             hot = None
+        else:
+            _CACHED_HOT.append(hot)
 
     if hot is None:
         parts = ["user_id"]

@@ -33,7 +33,12 @@ from activitykit.functions.time import monday_of
 from activitykit.operators.dedup import deduplicate
 from activitykit.operators.metrics import ratio
 from activitykit.operators.normalize import normalize
-from activitykit.operators.sessionize import DEFAULT_MAX_USER_ROWS, sessionize, user_activity_stats
+from activitykit.operators.sessionize import (
+    DEFAULT_MAX_USER_ROWS,
+    release_hot_user_tables,
+    sessionize,
+    user_activity_stats,
+)
 from activitykit.operators.snapshot import build_snapshot
 from activitykit.operators.validate import filter_kst_range, validate
 from activitykit.operators.weekly import affected_weeks, weekly_sessions_sql, weekly_users_sql, with_all_weeks
@@ -195,6 +200,7 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
     )
     write_staging(to_table_layout(staged), config.staging_path)
     m = dict(out.get)
+    release_hot_user_tables()
     if config.persist_input:
         normalized.unpersist()
     dates = [d.split("=", 1)[1] for d in fs.list_dirs(spark, config.staging_path) if d.startswith("event_date_kst=")]

@@ -31,7 +31,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from activitykit.operators.dedup import deduplicate
 from activitykit.operators.normalize import normalize
-from activitykit.operators.sessionize import DEFAULT_MAX_USER_ROWS, sessionize, user_activity_stats
+from activitykit.operators.sessionize import (
+    DEFAULT_MAX_USER_ROWS,
+    release_hot_user_tables,
+    sessionize,
+    user_activity_stats,
+)
 from activitykit.operators.snapshot import build_snapshot
 from activitykit.operators.validate import validate
 from activitykit.plans.preflight import today_kst
@@ -99,6 +104,7 @@ def process_micro_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> N
         idle = previous.join(written.select("user_id").distinct(), "user_id", "left_anti")
         snapshot = snapshot.unionByName(idle.select(*snapshot.columns))
     snapshot.write.mode("overwrite").parquet(_batch_dir(cfg.state_path, batch_id))
+    release_hot_user_tables()
     # Keep the state this batch read (a retry reads it again) and the new one.
     if previous_id is not None:
         for d in fs.list_dirs(spark, cfg.state_path):

@@ -157,3 +157,19 @@ def test_split_exact_with_stats_from_another_source(spark):
     plain = sessionize(dedup, max_user_rows=None)
     split = sessionize(dedup, max_user_rows=3, user_stats=__import__("activitykit").user_activity_stats(late))
     assert _rows(plain) == _rows(split)
+
+
+def test_hot_tables_are_released(spark):
+    from activitykit import release_hot_user_tables
+    from activitykit.operators import sessionize as _  # noqa: F401
+    import sys
+
+    mod = sys.modules["activitykit.operators.sessionize"]
+    release_hot_user_tables()  # earlier tests in this session may have left some
+    dedup = deduplicated(spark, SF_MID)
+    s = sessionize(dedup, max_user_rows=7)
+    assert len(mod._CACHED_HOT) == 1 and mod._CACHED_HOT[0].is_cached
+    cached = mod._CACHED_HOT[0]
+    s.count()
+    release_hot_user_tables()
+    assert not mod._CACHED_HOT and not cached.is_cached
