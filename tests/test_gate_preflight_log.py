@@ -99,3 +99,24 @@ def test_run_log_history(spark, out_dir):
     with pytest.raises(ValueError):
         log.log("X", not_a_field=1)
     assert read_run_log(spark, f"{out_dir}/log", "run-1").where(F.col("status") == "X").count() == 0
+
+
+def test_preflight_future_start_and_failed_log_fields(spark, out_dir):
+    os.makedirs(f"{out_dir}/input")
+    today = dt.date(2019, 10, 1)
+    with pytest.raises(PreflightError, match="start-date must not be in the future"):
+        preflight(spark, _cfg(out_dir, start_date="2019-10-02", end_date="2019-10-02"), today)
+    # a failed run writes a FAILED record with the message and the run's paths
+    from activitykit.plans.batch import BatchConfig, run_batch
+
+    cfg = BatchConfig(start_date="2999-01-01", end_date="2999-01-02", run_id="future-1",
+                      input_path=f"{out_dir}/input", output_base_path=f"{out_dir}/final",
+                      staging_base_path=f"{out_dir}/staging", dlq_base_path=f"{out_dir}/dlq",
+                      run_log_base_path=f"{out_dir}/log")
+    with pytest.raises(PreflightError):
+        run_batch(spark, cfg)
+    rec = read_run_log(spark, f"{out_dir}/log", "future-1").collect()
+    assert [r.status for r in rec] == ["FAILED"]
+    assert "must not be in the future" in rec[0].message
+    assert rec[0].processing_start_date == "2999-01-01" and rec[0].snapshot_seed_date == "2998-12-31"
+    assert rec[0].input_row_count is None
