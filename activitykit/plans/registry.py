@@ -484,6 +484,16 @@ def q_duplicate_groups_export(spark, sf_dir):
     ).json(path)
 
 
+def q_snapshot_export(spark, sf_dir):
+    from activitykit.runtime import scratch_path
+    from activitykit.schema import SNAPSHOT_SCHEMA
+    from activitykit.sources.sinks import export_snapshot
+
+    path = scratch_path(spark, "snapshot-json")
+    export_snapshot(build_snapshot(sessionized(spark, sf_dir), "2024-01-31", RUN_ID), path)
+    return comparable(spark.read.schema(SNAPSHOT_SCHEMA).json(path))
+
+
 STREAM_CHUNK_ENDS = ["2024-01-08", "2024-01-16", "2024-01-24", "9999-12-31"]
 
 
@@ -522,4 +532,5 @@ WRITING_QUERIES = {
     "batch_weekly_sessions": q_batch_weekly_sessions,
     "batch_run_metrics": q_batch_run_metrics,
     "duplicate_groups_export": q_duplicate_groups_export,
+    "snapshot_export": q_snapshot_export,
 }

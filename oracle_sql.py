@@ -364,6 +364,7 @@ FROM m"""
     q["incremental_weekly_overwrite"] = q["weekly_active_sessions"]
     q["batch_weekly_sessions"] = q["weekly_active_sessions"]
     q["duplicate_groups_export"] = q["duplicate_groups"]
+    q["snapshot_export"] = q["session_snapshot"]
     q["streaming_sessions"] = q["sessionize_300"]
     q["wau_users_sql"] = q["wau_users_range"]
     q["weekly_active_sessions_sql"] = q["weekly_active_sessions_range"]
