@@ -91,3 +91,18 @@ def test_week_filter_prunes_day_partitions(spark, out_dir):
 
 def monday_of_date(d):
     return d - dt.timedelta(days=d.weekday())
+
+
+def test_sql_forms_equal_dataframe_forms(spark):
+    from activitykit import weekly_sessions_sql, weekly_users_sql
+
+    df = _events(
+        spark,
+        [(u, f"s{u}{d}", D(2019, 10, d), monday_of_date(D(2019, 10, d)), monday_of_date(D(2019, 10, d - (u % 2))))
+         for u in range(1, 5) for d in range(2, 29, 3)],
+    )
+    df.createOrReplaceTempView("weekly_sql_fixture")
+    for lo, hi in [(None, None), ("2019-10-07", None), (None, "2019-10-14"), ("2019-10-07", "2019-10-21")]:
+        assert weekly_users_sql(spark, "weekly_sql_fixture", lo, hi).collect() == weekly_users(df, lo, hi).collect()
+        assert (weekly_sessions_sql(spark, "weekly_sql_fixture", lo, hi).collect()
+                == weekly_sessions(df, lo, hi).collect())
