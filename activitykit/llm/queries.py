@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activitykit.llm import mixing, packing, quality_llr, simhash, substring_dedup
-from activitykit.llm.common import documents
+from activitykit.llm import langid_ppm, license_scan, mixing, nearest, packing, quality_llr, simhash, substring_dedup
+from activitykit.llm.common import crc_mod, documents
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.clean(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_units", "n_removed", "removed_spans", "text")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: every vec_id divisible by 20, against all other rows."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -38,15 +48,26 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from documents outside the held-out third, predicts all."""
+    docs = documents(spark, sf_dir)
+    held_out = crc_mod("doc_id", 3) == 1
+    model = langid_ppm.PpmModel(langid_ppm.training_sample(docs, ~held_out))
+    return langid_ppm.identify(docs, model, held_out)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op4_license_scan": op4_license_scan,
+        "op5_nearest": op5_nearest,
         "op6_quality_rules": op6_quality_rules,
         "op7_mixing": op7_mixing,
         "op8_packing": op8_packing,
         "op9_simhash": op9_simhash,
+        "op10_language_id": op10_language_id,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_substring_dedup": substring_dedup.CLEAN_SQL, "op4_license_scan": license_scan.scan_sql()}

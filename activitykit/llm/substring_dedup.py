@@ -89,3 +89,21 @@ def _rewrite(text: str | None, gone: list[int] | None, split: str) -> tuple[int,
             kept.append(part)
         at += len(part) + len(split)
     return worded, len(spans), ",".join(spans), split.join(kept)
+
+
+CLEAN_SQL = r"""
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL),
+units AS (SELECT doc_id, unnest(p) AS part, generate_subscripts(p, 1) - 1 AS pos FROM split),
+placed AS (
+  SELECT *, trim(regexp_replace(lower(part), '[\x20\x09-\x0D]+', ' ', 'g')) AS plain,
+         CAST(coalesce(sum(length(part) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first
+  FROM units),
+ranked AS (SELECT *, plain <> '' AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, pos) > 1 AS gone FROM placed),
+texts AS (
+  SELECT doc_id, count(*) FILTER (plain <> '') AS n_units, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(first || ':' || (first + length(part)), ',' ORDER BY pos) FILTER (gone), '') AS removed_spans,
+         coalesce(string_agg(part, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+  FROM ranked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed_spans, '') AS removed_spans, t.text AS text
+FROM documents d LEFT JOIN texts t ON d.doc_id = t.doc_id
+"""
