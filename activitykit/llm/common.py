@@ -40,8 +40,8 @@ def crc_mod(col: str, divisor: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches whose texts hold at most ``SLICE_BYTES``, or one text."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts hold at most ``limit`` bytes, or one text."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -50,7 +50,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         first = 0
         while first < batch.num_rows:
             base = ends[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
+            last = max(first + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.take(pa.array(np.arange(first, last)))  # fresh buffers: split kernels misread arrays with an offset
             first = last
 

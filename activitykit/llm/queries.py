@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activitykit.llm import langid_ppm, license_scan, mixing, nearest, packing, quality_llr, simhash, substring_dedup
+from activitykit.llm import langid_ppm, license_scan, mixing, nearest, packing, quality_llr, simhash, substring_dedup, suffix_dedup
 from activitykit.llm.common import crc_mod, documents
 
 
@@ -16,6 +16,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.clean(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_units", "n_removed", "removed_spans", "text")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All copies of repeated 400-byte strings go, the first too."""
+    found = suffix_dedup.clean(documents(spark, sf_dir), keep_first=False)
+    n_removed = (F.col("n_bytes") - F.length("kept")).cast("long")
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
@@ -59,6 +66,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_license_scan": op4_license_scan,
         "op5_nearest": op5_nearest,
         "op6_quality_rules": op6_quality_rules,
