@@ -80,6 +80,11 @@ def coded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return d.indices.to_numpy(zero_copy_only=False).astype(np.int64), d.dictionary
 
 
+def plain(values: pa.Array) -> list:
+    """The values as Python objects (by way of numpy, several times as fast as ``to_pylist``)."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def per_text(values: np.ndarray, starts: np.ndarray, dtype=np.int64) -> np.ndarray:
     """Sums of the values between the starts (0 for a text without values)."""
     total = np.zeros(len(values) + 1, dtype)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activitykit.llm.common import MIX, coded, mix64, per_text, slices, texts_of, words_of
+from activitykit.llm.common import MIX, coded, mix64, per_text, plain, slices, texts_of, words_of
 
 BUCKETS = 1 << 14
 ALPHA = 1.0
@@ -39,8 +39,7 @@ RESULT = (
 
 
 def _word_hashes(words: pa.Array) -> np.ndarray:
-    lowered = pc.ascii_lower(words).to_pylist()
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in lowered), np.uint64, len(lowered))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, plain(pc.ascii_lower(words))), np.uint64, len(words))
 
 
 def _grams(codes: np.ndarray, table: pa.Array, starts: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +130,7 @@ def _dup_lines(texts: pa.Array) -> np.ndarray:
 
 
 def _symbols(texts: pa.Array) -> np.ndarray:
-    raw = [t.encode() for t in texts.to_pylist()]
+    raw = [t.encode() for t in plain(texts)]
     starts = np.zeros(len(raw) + 1, np.int64)
     np.cumsum([len(r) for r in raw], out=starts[1:])
     table = np.zeros(256, np.uint8)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activitykit.llm import langid_ppm, license_scan, mixing, nearest, packing, quality_llr, simhash, substring_dedup, suffix_dedup
+from activitykit.llm import langid_ppm, license_scan, lm_trie, mixing, nearest, packing, quality_llr, simhash, substring_dedup, suffix_dedup
 from activitykit.llm.common import crc_mod, documents
 
 
@@ -16,6 +16,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.clean(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_units", "n_removed", "removed_spans", "text")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from documents outside the held-out seventh, scores all."""
+    return lm_trie.score(documents(spark, sf_dir), crc_mod("doc_id", 7) == 2)
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All copies of repeated 400-byte strings go, the first too."""
     found = suffix_dedup.clean(documents(spark, sf_dir), keep_first=False)
@@ -66,6 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_license_scan": op4_license_scan,
         "op5_nearest": op5_nearest,
