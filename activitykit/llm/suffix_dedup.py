@@ -293,7 +293,9 @@ def matches(docs: DataFrame, least: int = MIN_BYTES, gram: int = GRAM, crowd: in
     """(doc_id, sig, start, end, later): byte spans that occur more than once; ``later``: an earlier copy exists."""
     every = ranges(docs, least, gram)
     shared = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("s1"), F.max("seg").alias("s2")).filter("n > 1")
-    found = _written(every.join(shared.select("anchor", (F.col("s1") != F.col("s2")).alias("mixed")), "anchor"), "suffix-ranges")
+    # written first, so that both sides of the join are shuffled and a frequent anchor can be split
+    shared = _written(shared.select("anchor", (F.col("s1") != F.col("s2")).alias("mixed")), "suffix-anchors")
+    found = _written(every.join(shared, "anchor"), "suffix-ranges")
     first = found.groupBy("anchor", "seg").agg(F.min(F.struct(*_place(), "hi")).alias("rep"), F.count(F.lit(1)).alias("n"), F.first("mixed").alias("mixed"))
     first = _written(first, "suffix-first")
     kinds = first.filter("mixed").groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
