@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from activitykit.runtime import shared_dir
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -53,6 +53,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             last = max(first + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.take(pa.array(np.arange(first, last)))  # fresh buffers: split kernels misread arrays with an offset
             first = last
+        pa.default_memory_pool().release_unused()  # a worker that waits for its next task holds nothing
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:

@@ -37,7 +37,7 @@ GROUP_ROWS = 4096
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
 BARE = "\x01"  # marks a word without a space before it
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 300_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 

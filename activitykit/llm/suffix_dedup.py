@@ -36,13 +36,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activitykit.llm.common import mix64, slices
+from activitykit.llm.common import SLICE_BYTES, mix64, slices
 from activitykit.runtime import scratch_path
 
 MIN_BYTES = 400
 GRAM = 192
 CROWD = 4096
-SLICE = 2 << 20
 SORT_BYTES = 1 << 18
 BASE = np.uint64(0xD6E8FEB86659FD93)  # odd, so it has an inverse modulo 2^64
 ABSENT = np.iinfo(np.uint64).max
@@ -119,8 +118,8 @@ def ranges(docs: DataFrame, least: int = MIN_BYTES, gram: int = GRAM) -> DataFra
     """(doc_id, sig, lo, hi, own, anchor, seg): window starts lo..hi of a text, their anchor, and a digest of their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = _powers(2 * SLICE)
-        for part in slices(batches, limit=SLICE):
+        powers = _powers(2 * SLICE_BYTES)
+        for part in slices(batches):
             raw, starts = _joined(part.column("text").to_pylist())
             if len(raw) > len(powers[0]):
                 powers = _powers(len(raw))
@@ -155,7 +154,7 @@ def _with_bytes(found: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     names = found.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, limit=SLICE):
+        for part in slices(batches):
             data = [t.encode()[a : b + least] for t, a, b in zip(*(part.column(c).to_pylist() for c in ("text", "lo", "hi")))]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(data, pa.binary())], [*names, "data"])
 
