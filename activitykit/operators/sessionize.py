@@ -34,8 +34,6 @@ from activitykit.schema import SESSION_COLUMNS, SESSION_GAP_SECONDS, SESSION_ORD
 
 DEFAULT_MAX_USER_ROWS = 2_000_000
 BROADCAST_ROW_LIMIT = 1_000_000
-MAX_GAP_SECONDS = 86_400  # a snapshot only holds users seen in its own run (one day apart)
-
 
 
 def _ts_null():
@@ -99,8 +97,8 @@ def sessionize(
     ``session_opened`` that is true on the first row of each session id, so the
     number of sessions is a plain sum.
     """
-    if not 0 < gap_seconds <= MAX_GAP_SECONDS:
-        raise ValueError(f"gap_seconds must be in (0, {MAX_GAP_SECONDS}]: {gap_seconds}")
+    if gap_seconds <= 0:
+        raise ValueError(f"gap_seconds must be positive: {gap_seconds}")
     out_columns = list(df.columns)
     t = F.col("event_time_utc")
 

@@ -34,3 +34,27 @@ def build_snapshot(sessionized: DataFrame, snapshot_date_kst: str, run_id: str)
         F.current_timestamp().alias("updated_at"),
         F.lit(run_id).alias("run_id"),
     )
+
+
+def latest_state_per_user(*states: DataFrame) -> DataFrame:
+    """Of all states given, each user's row with the greatest last event (a partial aggregate)."""
+    columns = states[0].columns
+    every = states[0]
+    for state in states[1:]:
+        every = every.unionByName(state.select(*columns))
+    order = ["last_event_time_utc", "last_session_start_time_utc"]
+    rest = [c for c in columns if c not in ("user_id", *order)]
+    best = every.groupBy("user_id").agg(F.max(F.struct(*order, *rest)).alias("_best"))
+    return best.select(*[F.col(c) if c == "user_id" else F.col(f"_best.{c}").alias(c) for c in columns])
+
+
+def with_idle_users(snapshot: DataFrame, previous: DataFrame | None, end_date_kst: str, gap_seconds: int) -> DataFrame:
+    """``snapshot`` plus the previous one's users whose last event the gap still reaches after the day's end.
+
+    Under a gap of a day or less no idle user is that recent; longer gaps carry them on.
+    """
+    if previous is None:
+        return snapshot
+    day_end = F.lit(f"{end_date_kst} 15:00:00").cast("timestamp")  # midnight KST, in UTC
+    reached = F.col("last_event_time_utc") > day_end - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
+    return latest_state_per_user(snapshot, previous.where(reached))

@@ -39,7 +39,7 @@ from activitykit.operators.sessionize import (
     sessionize,
     user_activity_stats,
 )
-from activitykit.operators.snapshot import build_snapshot
+from activitykit.operators.snapshot import build_snapshot, with_idle_users
 from activitykit.operators.validate import filter_kst_range, validate
 from activitykit.operators.weekly import affected_weeks, weekly_sessions_sql, weekly_users_sql, with_all_weeks
 from activitykit.plans.preflight import preflight, run_path
@@ -134,7 +134,7 @@ def run_batch(spark: SparkSession, config: BatchConfig, raw: DataFrame | None =
         return _run(spark, config, raw, log, base)
     except Exception as exc:
         try:
-            log.log(STATUS_FAILED, message=str(exc)[:2000], **base)
+            log.log(STATUS_FAILED, message=str(exc), **base)
         except Exception:  # the original error matters more than a failed log write
             pass
         raise
@@ -233,7 +233,7 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
     cleanup_path(spark, config.staging_path)
     # Exactly the days this run published (a written table: no recomputation).
     published = spark.read.option("basePath", config.output_base_path).parquet(*published_paths)
-    snapshot = build_snapshot(published, config.end_date, config.run_id)
+    snapshot = with_idle_users(build_snapshot(published, config.end_date, config.run_id), previous, config.end_date, config.gap_seconds)
     m["session_snapshot_path"] = save_snapshot(snapshot, config.session_state_base_path, config.end_date)
 
     log.log(

@@ -28,6 +28,8 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         return _parent_of_context_dir(current, configured)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="activitykit-")
     sc.setCheckpointDir(configured)
     return configured

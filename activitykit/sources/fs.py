@@ -49,6 +49,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
 
+def list_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and lengths of the files directly under ``path`` (empty if it does not exist)."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return {}
+    return {st.getPath().getName(): st.getLen() for st in fs.listStatus(p) if st.isFile()}
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """Fully qualified form of ``path`` (scheme and absolute path), for catalog locations."""
     fs, p = _path(spark, path)

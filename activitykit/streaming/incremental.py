@@ -13,10 +13,9 @@ folders from the same inputs instead of appending twice.
 
 State: one row per user ever seen (last event time, last session start and id),
 kept in ``<state>/batch_id=N``. The next state is the batch's snapshot plus the
-previous state's rows of users absent from the batch (a left-anti join on
-user_id), so a user idle for several batches still continues correctly when the
-gap allows it. Late rows (older than a user's state) open a new session, as in a
-batch re-run. Only the two newest states are kept.
+previous state, of which each user's greatest last event stays: a user idle for
+several batches still continues correctly when the gap allows it, and late rows
+(older than a user's state) open a new session without setting the state back. Only the two newest states are kept.
 
 Output accumulates one folder per micro-batch; a long-running stream needs the
 usual periodic compaction of its small files, which is outside this module.
@@ -37,7 +36,7 @@ from activitykit.operators.sessionize import (
     sessionize,
     user_activity_stats,
 )
-from activitykit.operators.snapshot import build_snapshot
+from activitykit.operators.snapshot import build_snapshot, latest_state_per_user
 from activitykit.operators.validate import validate
 from activitykit.plans.preflight import today_kst
 from activitykit.runtime import ensure_utc
@@ -93,16 +92,15 @@ def process_micro_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> N
         user_stats=user_activity_stats(valid) if cfg.max_user_rows is not None else None,
     )
     out = _batch_dir(cfg.output_path, batch_id)
-    to_table_layout(sess).hint("rebalance", "event_date_kst").write.mode("overwrite").partitionBy(
-        "event_date_kst"
-    ).parquet(out)
+    rows = to_table_layout(sess)
+    rows.hint("rebalance", "event_date_kst").write.mode("overwrite").partitionBy("event_date_kst").parquet(out)
 
-    # Advance the state from the rows just written (no recomputation of the batch).
-    written = spark.read.parquet(out)
+    # Advance the state from the rows just written (no recomputation of the batch). The schema is
+    # given: a batch of invalid rows alone leaves no file to infer one from.
+    written = spark.read.schema(rows.schema).parquet(out)
     snapshot = build_snapshot(written, today_kst().isoformat(), run_id)
     if previous is not None:
-        idle = previous.join(written.select("user_id").distinct(), "user_id", "left_anti")
-        snapshot = snapshot.unionByName(idle.select(*snapshot.columns))
+        snapshot = latest_state_per_user(snapshot, previous)
     snapshot.write.mode("overwrite").parquet(_batch_dir(cfg.state_path, batch_id))
     release_hot_user_tables()
     # Keep the state this batch read (a retry reads it again) and the new one.

@@ -69,6 +69,28 @@ def test_move_mode_consumes_staging(spark, out_dir):
     assert not os.path.exists(f"{staging}/event_date_kst={DAY}")
 
 
+def test_rename_that_fails_after_copying_loses_nothing(spark, out_dir, monkeypatch):
+    """As on stores where a rename copies and then deletes: the delete breaks off half way."""
+    import shutil
+
+    from activitykit.sources import fs
+
+    staging, final = f"{out_dir}/staging", f"{out_dir}/final"
+    spark.range(100).repartition(4).selectExpr("id", f"'{DAY}' event_date_kst").write.partitionBy("event_date_kst").parquet(staging)
+    whole = fs.rename
+
+    def broken(s, src, dst):
+        if "/staging/" not in src:
+            return whole(s, src, dst)
+        shutil.copytree(src, dst)
+        os.remove(next(f"{src}/{x}" for x in sorted(os.listdir(src)) if x.startswith("part-")))
+        raise OSError("injected")
+
+    monkeypatch.setattr(fs, "rename", broken)
+    publish_partitions(spark, staging, final, [DAY], move=True)
+    assert spark.read.parquet(f"{final}/event_date_kst={DAY}").count() == 100
+
+
 def test_activity_table_registration_and_repoint(spark, out_dir):
     name = "t_activity_events"
     spark.sql(f"DROP TABLE IF EXISTS {name}")

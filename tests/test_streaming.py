@@ -47,3 +47,18 @@ def test_state_survives_an_empty_batch(spark, raw, out_dir):
     process_micro_batch(b2, 2, cfg)
     process_micro_batch(b2, 2, cfg)  # retried after its state was written
     assert _rows(spark, cfg.output_path) == [("a", "14:58:00", 0), ("b", "14:58:00", 2)]
+
+
+def test_batch_of_invalid_rows_alone(spark, raw, out_dir):
+    cfg = StreamConfig(f"{out_dir}/out", f"{out_dir}/state", f"{out_dir}/dlq", fallback_target_date="2021-03-04")
+    process_micro_batch(raw([raw_row(event_time="2021-03-04 05:00:00 UTC", user_session="p")]), 0, cfg)
+    process_micro_batch(raw([raw_row(event_time="no time", user_session="q")]), 1, cfg)
+    process_micro_batch(raw([raw_row(event_time="2021-03-04 05:04:00 UTC", user_session="r")]), 2, cfg)
+    assert _rows(spark, cfg.output_path) == [("p", "05:00:00", 0), ("r", "05:00:00", 2)]
+
+
+def test_late_rows_do_not_set_the_state_back(spark, raw, out_dir):
+    cfg = StreamConfig(f"{out_dir}/out", f"{out_dir}/state", f"{out_dir}/dlq", fallback_target_date="2021-03-04")
+    for k, at in enumerate(("10:00:00", "08:00:00", "10:02:00")):
+        process_micro_batch(raw([raw_row(event_time=f"2021-03-04 {at} UTC", user_session=str(k))]), k, cfg)
+    assert _rows(spark, cfg.output_path) == [("0", "10:00:00", 0), ("1", "08:00:00", 1), ("2", "10:00:00", 2)]
