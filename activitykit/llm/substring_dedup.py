@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activitykit.llm.common import slices
+from activitykit.llm.common import cut_lineage, slices
 
 SPLIT = {"line": "\n", "paragraph": "\n\n"}
 COUNTS = "n_units long, n_removed long, removed_spans string, text string"
@@ -42,6 +42,7 @@ def removals(docs: DataFrame, unit: str = "line") -> DataFrame:
     every = units(docs, unit)
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "pos")
     first = every.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
+    first = cut_lineage(first)  # both sides of the join are then shuffled, and a frequent digest can be split
     later = every.join(first, "digest").filter(rank > F.col("first"))
     return later.groupBy("doc_id", "sig").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
 
