@@ -34,9 +34,9 @@ from activitykit.llm.common import cut_lineage
 PROJECTIONS = 12
 CONFIDENCE = 0.95
 BLOCK_ROWS = 1 << 16
-LEAST_BLOCKS = 24
+LEAST_BLOCKS = 12
 QUERY_ROWS = 4096
-LEAF_ROWS = 32
+LEAF_ROWS = 64
 SEED = 7
 FOUND = "query_id long, vec_id long, score double"
 
@@ -95,13 +95,14 @@ def _search(tree: KdTree, vectors: np.ndarray, ids: np.ndarray, longest: float,
     norm = float(np.sqrt(query @ query))
     rows, scores = np.zeros(0, np.int64), np.zeros(0)
     waiting, gaps = np.zeros(0, np.int64), np.zeros(0)
-    step, done = 4, 0
+    step, done = 16, 0
     while done < len(leaves) or len(waiting):
         taken = leaves[done : done + step]
         done += len(taken)
         step *= 2
         if len(taken):
-            new = np.concatenate([np.arange(tree.starts[x], tree.starts[x + 1]) for x in taken])
+            sizes = tree.starts[taken + 1] - tree.starts[taken]
+            new = np.repeat(tree.starts[taken] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
             waiting = np.r_[waiting, new]
             gaps = np.r_[gaps, np.square(tree.points[new] - at).sum(axis=1)]
         reach = bounds[done] if done < len(leaves) else np.inf
