@@ -88,7 +88,7 @@ class KdTree:
 
 
 def _search(tree: KdTree, vectors: np.ndarray, ids: np.ndarray, longest: float, query: np.ndarray, own: int, at: np.ndarray, k: int, limit: float) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, scores) of the k best rows met before the stop. ``limit``: the chi-square quantile."""
+    """(rows, scores) of the k best rows met before the stop. ``vectors``, ``ids`` and the result are in tree order; ``limit``: the chi-square quantile."""
     bounds = tree.leaf_bounds(at)
     leaves = np.argsort(bounds, kind="stable")
     bounds = bounds[leaves]
@@ -110,11 +110,14 @@ def _search(tree: KdTree, vectors: np.ndarray, ids: np.ndarray, longest: float,
         if len(scores) >= k:  # of those met, the ones the stop would not have passed
             met &= gaps < limit * 2 * max(0.0, 1 - scores.min() / (norm * longest))
         now = waiting[met]
-        now = now[ids[tree.order[now]] != own]
+        now = now[ids[now] != own]
         waiting, gaps = waiting[gaps > reach], gaps[gaps > reach]
         if len(now):
-            rows = np.r_[rows, tree.order[now]]
-            scores = np.r_[scores, vectors[tree.order[now]] @ query]
+            rows = np.r_[rows, now]
+            scores = np.r_[scores, vectors[now] @ query]
+            if len(scores) > 2 * k:  # ties with the k-th stay until the ids decide
+                able = scores >= np.partition(scores, -k)[-k]
+                rows, scores = rows[able], scores[able]
             best = np.lexsort((ids[rows], -scores))[:k]
             rows, scores = rows[best], scores[best]
         if len(scores) >= k and reach >= limit * 2 * max(0.0, 1 - scores.min() / (norm * longest)):
@@ -135,6 +138,7 @@ def _block_search(longest: float, k: int, projections: int, confidence: float, s
             lifted = np.c_[vectors, np.sqrt(np.maximum(longest**2 - np.square(vectors).sum(axis=1), 0))] / longest
             directions = np.random.default_rng([seed, int(size)]).standard_normal((int(size) + 1, projections))
             tree = KdTree(lifted @ directions)
+            vectors, ids = vectors[tree.order], ids[tree.order]
             asked = queries[queries["dim"] == size]
             for own, query in zip(asked["vec_id"].tolist(), asked["embedding"]):
                 query = np.asarray(query, np.float64)
