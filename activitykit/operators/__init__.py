@@ -19,7 +19,6 @@ from activitykit.operators.metrics import (
 from activitykit.operators.normalize import normalize
 from activitykit.operators.sessionize import (
     first_event_per_user,
-    release_hot_user_tables,
     sessionize,
     user_activity_stats,
 )
@@ -54,7 +53,6 @@ __all__ = [
     "output_partitions",
     "reason_display",
     "reason_histogram",
-    "release_hot_user_tables",
     "sessionize",
     "stage_counts",
     "unique_sessions",

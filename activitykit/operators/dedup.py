@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from activitykit.functions.keys import dedup_key
 
 # Inside one key group only these may differ (the key fixes everything else);
-# the survivor is the row that is lowest on them, so it is deterministic.
-SURVIVOR_ORDER = ["price", "event_time_utc", "event_time"]
+# the survivor is the row that is lowest on them, so it is deterministic. The KST
+# time follows from event_time_utc.
+SURVIVOR_ORDER = ["price", "event_time_utc", "event_time", "event_time_kst"]
 
 
 class DeduplicationResult(NamedTuple):
@@ -30,10 +31,12 @@ def with_dedup_key(df: DataFrame) -> DataFrame:
 
 
 def _grouped(keyed: DataFrame) -> DataFrame:
-    rest = [c for c in keyed.columns if c not in SURVIVOR_ORDER and c != "dedup_key"]
-    row = F.struct(*[F.col(c) for c in SURVIVOR_ORDER + rest])
+    free = [c for c in SURVIVOR_ORDER if c in keyed.columns]
+    fixed = [c for c in keyed.columns if c not in free and c != "dedup_key"]
+    # one aggregate a column, so that columns nobody reads are pruned before the shuffle
     return keyed.groupBy("dedup_key").agg(
-        F.min(row).alias("_row"),
+        F.min(F.struct(*free)).alias("_free"),
+        *[F.first(c).alias(c) for c in fixed],
         F.count(F.lit(1)).alias("duplicate_group_size"),
     )
 
@@ -46,7 +49,7 @@ def deduplicate(df: DataFrame, keep_group_size: bool = False) -> DeduplicationRe
     """
     keyed = with_dedup_key(df)
     grouped = _grouped(keyed)
-    out_cols = [F.col(f"_row.{c}").alias(c) for c in keyed.columns if c != "dedup_key"] + [F.col("dedup_key")]
+    out_cols = [F.col(f"_free.{c}" if c in SURVIVOR_ORDER else c).alias(c) for c in keyed.columns if c != "dedup_key"] + [F.col("dedup_key")]
     if keep_group_size:
         out_cols.append(F.col("duplicate_group_size"))
     deduplicated = grouped.select(*out_cols)

@@ -42,14 +42,22 @@ def ratio(invalid_rows: int, input_rows: int) -> float:
     return 0.0 if input_rows == 0 else invalid_rows / input_rows
 
 
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """One (stage, row_count) row per named stage, in one job."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("stage"), "row_count")
-             for name, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _stacked(row: DataFrame) -> DataFrame:
+    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("stage"), F.col(c).alias("row_count")) for c in row.columns])))
+
+
+def stage_counts(normalized: DataFrame, sessionized: DataFrame) -> DataFrame:
+    """One (stage, row_count) row per stage: one pass over the input, one over the sessions."""
+    read = normalized.agg(
+        F.count(F.lit(1)).alias("input"),
+        F.count_if(~is_invalid()).alias("valid"),
+        F.count_if(is_invalid()).alias("invalid"),
+    )
+    kept = sessionized.agg(
+        F.count("dedup_key").alias("deduplicated"),
+        F.count("session_start_time_utc").alias("sessionized"),
+    )
+    return _stacked(read).unionByName(_stacked(kept))
 
 
 def unique_sessions(sessionized: DataFrame) -> DataFrame:

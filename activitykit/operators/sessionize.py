@@ -13,14 +13,15 @@ only continues a session when 0 <= gap < gap_seconds; a negative gap (snapshot
 later than the new events) opens a new session. So the carry-over needs no join:
 it is the same window pass as the local sessions, on the same shuffle.
 
-Skew. A window partitioned by user sends all of a user's rows to one task. Users
-with more than ``max_user_rows`` rows are cut into time chunks of about that many
-rows, and the window runs per (user, chunk). Two small per-chunk tables carry the
-state over chunk edges exactly: the last event time of the previous chunk (the
-predecessor of a chunk's first row) and the session start in force at the end of
-the previous chunks. Both tables have about (hot rows / max_user_rows) rows; they
-are broadcast only when their row count, computed first, is under the limit, and
-are otherwise joined on (user_id, chunk) with a shuffle.
+Skew. A window partitioned by user sends all of a user's rows to one task. Gaps
+are whole seconds and at least one, so of all events a user has in one second only
+the first can open a session. Users with more than ``max_user_rows`` rows are
+therefore reduced to one row per second (a partial aggregate, which collapses a
+burst inside each map task), the same window pass runs over those seconds, and the
+rows take their second's session by a join on (user_id, second), which the
+adaptive skew join can split. A window task then holds at most the seconds of the
+input's time span, whatever the number of rows. The ids of those users are written
+as a small table first, so Spark broadcasts them only when their measured size allows.
 """
 
 from __future__ import annotations
@@ -30,52 +31,79 @@ from pyspark.sql import functions as F
 
 from activitykit.functions.keys import session_id
 from activitykit.functions.time import epoch_seconds, to_kst, week_start
+from activitykit.runtime import scratch_path
 from activitykit.schema import SESSION_COLUMNS, SESSION_GAP_SECONDS, SESSION_ORDER
 
 DEFAULT_MAX_USER_ROWS = 2_000_000
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
-def _ts_null():
-    return F.lit(None).cast("timestamp")
-
-
-# Hot-user tables cached by sessionize; the plans that consume them run later, so
-# callers release them once their writes are done (see release_hot_user_tables).
-_CACHED_HOT: list[DataFrame] = []
-
-
-def release_hot_user_tables() -> None:
-    """Unpersists the hot-user tables cached by earlier sessionize calls."""
-    while _CACHED_HOT:
-        _CACHED_HOT.pop().unpersist()
 
 
 def user_activity_stats(df: DataFrame) -> DataFrame:
-    """Rows and first/last whole second per user (a partial aggregate, skew-safe)."""
-    sec = epoch_seconds("event_time_utc")
-    return df.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.min(sec).alias("_min_sec"),
-        F.max(sec).alias("_max_sec"),
+    """Rows per user (a partial aggregate, skew-safe)."""
+    return df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _hot_users(stats: DataFrame, max_user_rows: int) -> DataFrame | None:
+    """The users above ``max_user_rows`` as a written table, or None when there are none."""
+    spark = stats.sparkSession
+    path = scratch_path(spark, "hot-users")
+    stats.where(F.col("_rows") > F.lit(max_user_rows)).select("user_id").write.parquet(path)
+    hot = spark.read.parquet(path)
+    return None if hot.isEmpty() else hot
+
+
+def _seed_rows(snapshot: DataFrame | None) -> DataFrame | None:
+    if snapshot is None:
+        return None
+    return snapshot.where(F.col("last_event_time_utc").isNotNull()).select(
+        F.col("user_id"),
+        F.col("last_event_time_utc").alias("event_time_utc"),
+        F.col("last_session_start_time_utc").alias("_carry_start"),
+        F.lit(0).alias("_src"),
     )
 
 
-def hot_user_chunks(stats: DataFrame, max_user_rows: int) -> DataFrame:
-    """Users above ``max_user_rows``, with the chunk width (seconds) that gives about
-    ``max_user_rows`` rows per chunk, and their number of chunks."""
-    span = F.col("_max_sec") - F.col("_min_sec") + F.lit(1)
-    width = F.greatest(F.lit(1).cast("long"), F.ceil(span * F.lit(max_user_rows) / F.col("_rows")).cast("long"))
-    return (
-        stats.where(F.col("_rows") > F.lit(max_user_rows))
-        .select("user_id", "_min_sec", width.alias("_width"), "_max_sec")
-        .withColumn("_n_chunks", F.floor((F.col("_max_sec") - F.col("_min_sec")) / F.col("_width")).cast("long") + 1)
-        .drop("_max_sec")
+def _window_pass(df: DataFrame, seeds: DataFrame | None, gap_seconds: int) -> DataFrame:
+    """``df`` plus session_start_time_utc and session_opened (true on a session's first row in ``df``)."""
+    t = F.col("event_time_utc")
+    rows = df.withColumns({"_src": F.lit(1), "_carry_start": F.lit(None).cast("timestamp")})
+    if seeds is not None:
+        rows = rows.unionByName(seeds, allowMissingColumns=True)
+    w = Window.partitionBy("user_id").orderBy("_src", *SESSION_ORDER)
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev_t = F.lag(t).over(w)
+    gap = epoch_seconds(t) - epoch_seconds(prev_t)
+    is_new = (F.col("_src") == 1) & (prev_t.isNull() | (gap >= F.lit(gap_seconds)) | (gap < F.lit(0)))
+    after_seed = F.coalesce(F.lag("_src").over(w) == F.lit(0), F.lit(False))
+    marked = (
+        rows.withColumn("_is_new", is_new)
+        .withColumn("_after_seed", after_seed)
+        # New-session starts rise along the order, so the running max is the last one.
+        .withColumn("_run_start", F.max(F.when(F.col("_is_new"), t)).over(running))
+        .withColumn("_run_carry", F.max("_carry_start").over(running))
+    )
+    return marked.where(F.col("_src") == 1).select(
+        *df.columns,
+        F.coalesce(F.col("_run_start"), F.col("_run_carry")).alias("session_start_time_utc"),
+        (F.col("_is_new") | F.col("_after_seed")).alias("session_opened"),
     )
 
 
-def _side(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    return F.broadcast(df) if rows <= limit else df
+def _by_seconds(rows: DataFrame, seeds: DataFrame | None, gap_seconds: int) -> DataFrame:
+    """The same columns as :func:`_window_pass`, by way of one row per user and second."""
+    sec = epoch_seconds("event_time_utc")
+    firsts = rows.groupBy("user_id", sec.alias("_sec")).agg(F.min(F.struct(*SESSION_ORDER)).alias("_first"))
+    seconds = _window_pass(firsts.select("user_id", "_sec", "_first.*"), seeds, gap_seconds).select(
+        "user_id",
+        "_sec",
+        F.col("dedup_key").alias("_first_key"),
+        "session_start_time_utc",
+        F.col("session_opened").alias("_opened"),
+    )
+    return rows.withColumn("_sec", sec).join(seconds, ["user_id", "_sec"]).select(
+        *rows.columns,
+        "session_start_time_utc",
+        (F.col("_opened") & F.col("dedup_key").eqNullSafe(F.col("_first_key"))).alias("session_opened"),
+    )
 
 
 def sessionize(
@@ -84,117 +112,39 @@ def sessionize(
     gap_seconds: int = SESSION_GAP_SECONDS,
     max_user_rows: int | None = DEFAULT_MAX_USER_ROWS,
     user_stats: DataFrame | None = None,
-    broadcast_row_limit: int = BROADCAST_ROW_LIMIT,
     with_session_opened: bool = False,
 ) -> DataFrame:
     """Deduplicated rows (S3) → rows with session_start_time_utc/kst,
     session_start_week_kst and session_id (S4), same row count.
 
     ``user_stats`` (from :func:`user_activity_stats`, on this input or on any cheaper
-    source of per-user counts and time spans) saves the pre-pass that finds hot
-    users; it only decides where users are cut, never the result;
-    ``max_user_rows=None`` skips the split. ``with_session_opened`` keeps a boolean
-    ``session_opened`` that is true on the first row of each session id, so the
-    number of sessions is a plain sum.
+    source of per-user counts) saves the pre-pass that finds hot users; it only
+    decides which users go by seconds, never the result; ``max_user_rows=None`` skips
+    the pre-pass. ``with_session_opened`` keeps a boolean ``session_opened`` that is
+    true on the first row of each session id, so the number of sessions is a plain sum.
     """
     if gap_seconds <= 0:
         raise ValueError(f"gap_seconds must be positive: {gap_seconds}")
-    out_columns = list(df.columns)
-    t = F.col("event_time_utc")
-
-    rows = df.withColumns({"_src": F.lit(1), "_carry_start": _ts_null()})
-    if previous_snapshot is not None:
-        seeds = previous_snapshot.where(F.col("last_event_time_utc").isNotNull()).select(
-            F.col("user_id"),
-            F.col("last_event_time_utc").alias("event_time_utc"),
-            F.col("last_session_start_time_utc").alias("_carry_start"),
-            F.lit(0).alias("_src"),
-        )
-        rows = rows.unionByName(seeds, allowMissingColumns=True)
-
-    hot, n_chunks = None, 0
+    seeds = _seed_rows(previous_snapshot)
+    hot = None
     if max_user_rows is not None:
-        stats = user_stats if user_stats is not None else user_activity_stats(df)
-        hot = hot_user_chunks(stats, max_user_rows).cache()
-        n_hot, n_chunks = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n_chunks"), F.lit(0))).first()
-        if n_hot == 0:
-            hot.unpersist()
-            hot = None
-        else:
-            _CACHED_HOT.append(hot)
-
+        hot = _hot_users(user_stats if user_stats is not None else user_activity_stats(df), max_user_rows)
     if hot is None:
-        parts = ["user_id"]
-        rows = rows.withColumns({"_prev_chunk_last": _ts_null()})
+        timed = _window_pass(df, seeds, gap_seconds)
     else:
-        parts = ["user_id", "_chunk", "_hot"]
-        rows = rows.join(_side(hot, n_hot, broadcast_row_limit), "user_id", "left")
-        # Any chunk number that never decreases along a user's order gives exact
-        # results; clamping at 0 keeps the seed's chunk first even when the stats
-        # came from another source than this input.
-        chunk = (
-            F.when((F.col("_src") == 1) & F.col("_width").isNotNull(),
-                   F.greatest(F.floor((epoch_seconds(t) - F.col("_min_sec")) / F.col("_width")), F.lit(0)))
-            .otherwise(F.lit(0))
-            .cast("long")
-        )
-        rows = rows.withColumns({"_chunk": chunk, "_hot": F.col("_width").isNotNull()}).drop(
-            "_min_sec", "_width", "_n_chunks"
+        hot_seeds = None if seeds is None else seeds.join(hot, "user_id", "left_semi")
+        timed = _window_pass(df.join(hot, "user_id", "left_anti"), seeds, gap_seconds).unionByName(
+            _by_seconds(df.join(hot, "user_id", "left_semi"), hot_seeds, gap_seconds)
         )
-        # Predecessor of each chunk's first row: the last row of the previous
-        # non-empty chunk (its last real event; a seed only if it is alone).
-        by_chunk = Window.partitionBy("user_id").orderBy("_chunk")
-        chunk_last = (
-            rows.where(F.col("_hot"))
-            .groupBy("user_id", "_chunk")
-            .agg(F.coalesce(F.max(F.when(F.col("_src") == 1, t)), F.max(t)).alias("_last_t"))
-            .select("user_id", "_chunk", F.lag("_last_t").over(by_chunk).alias("_prev_chunk_last"))
-        )
-        rows = rows.join(_side(chunk_last, n_chunks, broadcast_row_limit), ["user_id", "_chunk"], "left")
-
-    w = Window.partitionBy(*parts).orderBy("_src", *SESSION_ORDER)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_t = F.coalesce(F.lag(t).over(w), F.col("_prev_chunk_last"))
-    gap = epoch_seconds(t) - epoch_seconds(prev_t)
-    is_new = (F.col("_src") == 1) & (prev_t.isNull() | (gap >= F.lit(gap_seconds)) | (gap < F.lit(0)))
-    rows = (
-        rows.withColumn("_is_new", is_new)
-        .withColumn("_after_seed", F.coalesce(F.lag("_src").over(w) == F.lit(0), F.lit(False)))
-        .withColumn("_new_start", F.when(F.col("_is_new"), t))
-        # New-session starts rise along the order, so the running max is the last one.
-        .withColumn("_run_start", F.max("_new_start").over(running))
-        .withColumn("_run_carry", F.max("_carry_start").over(running))
-    )
-
-    if hot is None:
-        rows = rows.withColumn("_entering", _ts_null())
-    else:
-        # Session start in force when a chunk begins: the last chunk-end state
-        # among the previous chunks (a later start, else the seed's start).
-        by_chunk = Window.partitionBy("user_id").orderBy("_chunk")
-        entering = (
-            rows.where(F.col("_hot"))
-            .groupBy("user_id", "_chunk")
-            .agg(F.coalesce(F.max("_new_start"), F.max("_carry_start")).alias("_eff"))
-            .select(
-                "user_id",
-                "_chunk",
-                F.last("_eff", ignorenulls=True)
-                .over(by_chunk.rowsBetween(Window.unboundedPreceding, -1))
-                .alias("_entering"),
-            )
-        )
-        rows = rows.join(_side(entering, n_chunks, broadcast_row_limit), ["user_id", "_chunk"], "left")
-
-    start = F.coalesce(F.col("_run_start"), F.col("_run_carry"), F.col("_entering"))
+    start = F.col("session_start_time_utc")
     start_kst = to_kst(start)
-    result = rows.where(F.col("_src") == 1).select(
-        *out_columns,
-        start.alias("session_start_time_utc"),
+    result = timed.select(
+        *df.columns,
+        start,
         start_kst.alias("session_start_time_kst"),
         week_start(F.to_date(start_kst)).alias("session_start_week_kst"),
         session_id("user_id", start).alias("session_id"),
-        (F.col("_is_new") | F.col("_after_seed")).alias("session_opened"),
+        "session_opened",
     )
     assert result.columns[-5:-1] == SESSION_COLUMNS
     return result if with_session_opened else result.drop("session_opened")

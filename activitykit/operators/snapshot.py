@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activitykit.schema import SESSION_ORDER
+from activitykit.schema import KST_ZONE, SESSION_ORDER
 
 
 def build_snapshot(sessionized: DataFrame, snapshot_date_kst: str, run_id: str) -> DataFrame:
@@ -48,6 +48,13 @@ def latest_state_per_user(*states: DataFrame) -> DataFrame:
     return best.select(*[F.col(c) if c == "user_id" else F.col(f"_best.{c}").alias(c) for c in columns])
 
 
+def reaching(snapshot: DataFrame, start_date_kst: str, gap_seconds: int) -> DataFrame:
+    """The users whose last event the gap still reaches at the start of the day: a filter the scan can use."""
+    day_start = F.to_utc_timestamp(F.lit(f"{start_date_kst} 00:00:00").cast("timestamp"), F.lit(KST_ZONE))
+    reach = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
+    return snapshot.where(F.col("last_event_time_utc") > day_start - reach)
+
+
 def with_idle_users(snapshot: DataFrame, previous: DataFrame | None, end_date_kst: str, gap_seconds: int) -> DataFrame:
     """``snapshot`` plus the previous one's users whose last event the gap still reaches after the day's end.
 

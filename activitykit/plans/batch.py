@@ -35,11 +35,10 @@ from activitykit.operators.metrics import ratio
 from activitykit.operators.normalize import normalize
 from activitykit.operators.sessionize import (
     DEFAULT_MAX_USER_ROWS,
-    release_hot_user_tables,
     sessionize,
     user_activity_stats,
 )
-from activitykit.operators.snapshot import build_snapshot, with_idle_users
+from activitykit.operators.snapshot import build_snapshot, reaching, with_idle_users
 from activitykit.operators.validate import filter_kst_range, validate
 from activitykit.operators.weekly import affected_weeks, weekly_sessions_sql, weekly_users_sql, with_all_weeks
 from activitykit.plans.preflight import preflight, run_path
@@ -69,18 +68,18 @@ from activitykit.sources.sinks import to_table_layout, write_dlq, write_staging,
 from activitykit.sources.snapshot_store import load_snapshot, save_snapshot
 
 
-@dataclass
+@dataclass(kw_only=True)
 class BatchConfig:
     start_date: str
     end_date: str
     run_id: str
     input_path: str | None = None
-    output_base_path: str = "output/final-output"
-    staging_base_path: str = "output/staging"
-    dlq_base_path: str = "output/dlq"
-    session_state_base_path: str = "output/session-state"
-    run_log_base_path: str = "output/run-log"
-    wau_output_base_path: str = "output/wau-results"
+    output_base_path: str
+    staging_base_path: str
+    dlq_base_path: str
+    session_state_base_path: str
+    run_log_base_path: str
+    wau_output_base_path: str
     table_name: str = ACTIVITY_TABLE
     wau_users_table: str = WAU_USERS_TABLE
     weekly_sessions_table: str = WEEKLY_SESSIONS_TABLE
@@ -178,10 +177,11 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
     dedup = deduplicate(in_range, keep_group_size=True).deduplicated
     log.log(STATUS_SESSIONIZING, **base)
     previous = load_snapshot(spark, config.session_state_base_path, config.seed_date)
+    seeds = None if previous is None else reaching(previous, config.start_date, config.gap_seconds)
     stats = user_activity_stats(in_range) if config.max_user_rows is not None else None
     sess = sessionize(
         dedup,
-        previous,
+        seeds,
         gap_seconds=config.gap_seconds,
         max_user_rows=config.max_user_rows,
         user_stats=stats,
@@ -200,7 +200,6 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
     )
     write_staging(to_table_layout(staged), config.staging_path)
     m = dict(out.get)
-    release_hot_user_tables()
     if config.persist_input:
         normalized.unpersist()
     dates = [d.split("=", 1)[1] for d in fs.list_dirs(spark, config.staging_path) if d.startswith("event_date_kst=")]

@@ -1,9 +1,12 @@
-"""Checks before a run touches any data.
+"""What a run checks before it touches data, and a Spark profile of its input.
 
-Dates are ISO and ordered and not in the KST future; the input exists; this
-run_id has no staging, dead-letter or run-log folder yet (a run_id is single
-use); an output location is given. Existence goes through the Hadoop FileSystem
-of the session, so it holds for HDFS and object stores too.
+``problems`` lists everything wrong with a configuration (an empty list: the run may
+start); ``preflight`` raises with the whole list. A run_id is single use: a folder of
+an earlier run under any per-run base is a problem. Folders are looked up through the
+session's Hadoop FileSystem, so HDFS and object stores work too.
+
+``input_profile`` is one aggregate over the normalized input: per KST day the rows, and
+how many lie in the run's range; rows without a readable time share one NULL day.
 """
 
 from __future__ import annotations
@@ -11,55 +14,69 @@ from __future__ import annotations
 import datetime as dt
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from activitykit.functions.reasons import is_invalid
 from activitykit.schema import KST_ZONE
 from activitykit.sources import fs
 
+#: Per-run folders, by the configuration field of their base.
+RUN_FOLDERS = {"staging_base_path": "staging", "dlq_base_path": "dead-letter", "run_log_base_path": "run log"}
+
 
 class PreflightError(ValueError):
     pass
 
 
-def parse_date(value: str, field: str) -> dt.date:
-    try:
-        if len(value) != 10:
-            raise ValueError(value)
-        return dt.date.fromisoformat(value)
-    except (TypeError, ValueError):
-        raise PreflightError(f"{field} must be in yyyy-MM-dd format: {value}") from None
+def run_path(base: str, run_id: str) -> str:
+    return f"{base.rstrip('/')}/run_id={run_id}"
 
 
 def today_kst() -> dt.date:
     return dt.datetime.now(ZoneInfo(KST_ZONE)).date()
 
 
-def run_path(base: str, run_id: str) -> str:
-    return f"{base.rstrip('/')}/run_id={run_id}"
+def iso_day(value: str | None) -> dt.date | None:
+    """The day written as yyyy-MM-dd, None for anything else."""
+    try:
+        day = dt.date.fromisoformat(value)
+    except (TypeError, ValueError):
+        return None
+    return day if day.isoformat() == value else None
+
+
+def problems(spark: SparkSession, config, today: dt.date | None = None) -> list[str]:
+    """Everything that keeps the run from starting, in words."""
+    latest = today or today_kst()
+    days = {name: iso_day(getattr(config, name)) for name in ("start_date", "end_date")}
+    found = [f"{name} is not a yyyy-MM-dd day: {getattr(config, name)}" for name, day in days.items() if day is None]
+    found += [f"{name} lies in the future: {day}" for name, day in days.items() if day and day > latest]
+    if all(days.values()) and days["end_date"] < days["start_date"]:
+        found.append(f"the range ends before it starts: {days['start_date']} to {days['end_date']}")
+    if not (config.output_base_path or "").strip():
+        found.append("no output_base_path for the published table")
+    if config.input_path is not None and not fs.exists(spark, config.input_path):
+        found.append(f"no input at {config.input_path}")
+    for base, what in RUN_FOLDERS.items():
+        path = run_path(getattr(config, base), config.run_id)
+        if fs.exists(spark, path):
+            found.append(f"run_id {config.run_id} already has a {what} folder: {path}")
+    return found
 
 
 def preflight(spark: SparkSession, config, today: dt.date | None = None) -> None:
-    """Raises :class:`PreflightError` on the first failed check."""
-    start = parse_date(config.start_date, "start-date")
-    end = parse_date(config.end_date, "end-date")
-    today = today or today_kst()
-
-    def require(ok: bool, message: str) -> None:
-        if not ok:
-            raise PreflightError(message)
-
-    require(start <= end, f"start-date must be on or before end-date: {config.start_date} > {config.end_date}")
-    require(start <= today, f"start-date must not be in the future: {config.start_date}")
-    require(end <= today, f"end-date must not be in the future: {config.end_date}")
-    if config.input_path is not None:
-        require(fs.exists(spark, config.input_path), f"input-path does not exist: {config.input_path}")
-    staging = run_path(config.staging_base_path, config.run_id)
-    require(not fs.exists(spark, staging), f"staging path for run_id already exists: {staging}")
-    dlq = run_path(config.dlq_base_path, config.run_id)
-    require(not fs.exists(spark, dlq), f"dlq path for run_id already exists: {dlq}")
-    log = run_path(config.run_log_base_path, config.run_id)
-    require(not fs.exists(spark, log), f"batch run log path for run_id already exists: {log}")
-    require(
-        bool(config.output_base_path and config.output_base_path.strip()),
-        "output-base-path must be provided because table registration and WAU are always executed",
+    """Raises :class:`PreflightError` with all problems found."""
+    found = problems(spark, config, today)
+    if found:
+        raise PreflightError("; ".join(found))
+
+
+def input_profile(normalized: DataFrame, start_date: str, end_date: str) -> DataFrame:
+    """(event_date_kst, row_count, invalid_count, in_range_count) per KST day; a NULL day holds unreadable times."""
+    in_range = F.col("event_date_kst").between(F.lit(start_date).cast("date"), F.lit(end_date).cast("date"))
+    return normalized.groupBy("event_date_kst").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(is_invalid()).alias("invalid_count"),
+        F.count_if(in_range & ~is_invalid()).alias("in_range_count"),
     )

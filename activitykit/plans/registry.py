@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from activitykit.functions.time import to_kst
 from activitykit.operators.dedup import deduplicate, duplicate_metrics
 from activitykit.operators.metrics import (
     dlq_ratio,
@@ -35,6 +36,7 @@ from activitykit.operators.weekly import (
     weekly_summary,
     weekly_users,
 )
+from activitykit.plans.preflight import input_profile
 from activitykit.runtime import ensure_utc
 from activitykit.sources.events import events_as_activity, read_events
 
@@ -88,12 +90,10 @@ def sessionized(spark: SparkSession, sf_dir: str, gap: int = 300, **kw) -> DataF
 
 
 def source_user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and first/last second per user from a two-column scan of the source
-    table (user_id, ts), without the adapter and dedup work. Each count is an upper
-    bound and each first second is at or before the real one, which is all the
-    hot-user split needs."""
-    events = read_events(spark, sf_dir, spread=False)
-    return user_activity_stats(events.select("user_id", F.col("ts").cast("timestamp").alias("event_time_utc")))
+    """Rows per user from a one-column scan of the source table, without the adapter
+    and dedup work: all that finding the hot users needs."""
+    events = read_events(spark, sf_dir)
+    return user_activity_stats(events.select("user_id"))
 
 
 def _sessionize_valid(
@@ -172,19 +172,29 @@ def q_sessionize(spark, sf_dir, gap):
 
 
 def q_sessionize_hot_split(spark, sf_dir):
-    # Every user above 20 rows is cut into time chunks: the skew path, same result.
+    # Every user above 20 rows goes by seconds: the skew path, same result.
     return _session_rows(sessionized(spark, sf_dir, 300, max_user_rows=SPLIT_MAX_USER_ROWS))
 
 
+def _first_batch(spark, sf_dir, gap, **kw) -> DataFrame:
+    """Sessions of the days up to FIRST_BATCH_END, written and read back as a job does."""
+    from activitykit.runtime import scratch_path
+
+    valid = valid_invalid(spark, sf_dir).valid
+    path = scratch_path(spark, "first-batch")
+    _sessionize_valid(spark, sf_dir, filter_kst_range(valid, "0001-01-01", FIRST_BATCH_END), gap, **kw).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _second_batch(spark, sf_dir, gap, snapshot, **kw) -> DataFrame:
+    valid = valid_invalid(spark, sf_dir).valid
+    return _sessionize_valid(spark, sf_dir, filter_kst_range(valid, SECOND_BATCH_START, "9999-12-31"), gap, snapshot, **kw)
+
+
 def _two_batches(spark, sf_dir, gap, **kw) -> DataFrame:
     """Days up to FIRST_BATCH_END, then the rest seeded by the first run's snapshot."""
-    valid = valid_invalid(spark, sf_dir).valid
-    first = _sessionize_valid(spark, sf_dir, filter_kst_range(valid, "0001-01-01", FIRST_BATCH_END), gap, **kw)
-    snap = build_snapshot(first, FIRST_BATCH_END, RUN_ID)
-    second = _sessionize_valid(
-        spark, sf_dir, filter_kst_range(valid, SECOND_BATCH_START, "9999-12-31"), gap, snap, **kw
-    )
-    return first.unionByName(second)
+    first = _first_batch(spark, sf_dir, gap, **kw)
+    return first.unionByName(_second_batch(spark, sf_dir, gap, build_snapshot(first, FIRST_BATCH_END, RUN_ID), **kw))
 
 
 def q_sessionize_seeded(spark, sf_dir):
@@ -273,17 +283,11 @@ def q_dlq_ratio(spark, sf_dir):
 
 
 def q_stage_counts(spark, sf_dir):
-    valid, invalid = valid_invalid(spark, sf_dir)
-    dedup = deduplicate(valid).deduplicated
-    return stage_counts(
-        {
-            "input": normalized(spark, sf_dir),
-            "valid": valid,
-            "invalid": invalid,
-            "deduplicated": dedup,
-            "sessionized": sessionize(dedup, user_stats=source_user_stats(spark, sf_dir)),
-        }
-    )
+    return stage_counts(normalized(spark, sf_dir), sessionized(spark, sf_dir))
+
+
+def q_input_profile(spark, sf_dir):
+    return comparable(input_profile(normalized(spark, sf_dir), RANGE_START, RANGE_END))
 
 
 def q_wau_summary(spark, sf_dir):
@@ -327,6 +331,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "affected_weeks": q_affected_weeks,
         "dlq_ratio": q_dlq_ratio,
         "stage_counts": q_stage_counts,
+        "input_profile": q_input_profile,
         "wau_summary": q_wau_summary,
         **WRITING_QUERIES,
     }
@@ -395,6 +400,13 @@ def q_catalog_roundtrip(spark, sf_dir):
     return comparable(weekly_users(catalog.read_table(spark, name)))
 
 
+def _run_ranges(spark, sf_dir) -> list[tuple[str, str]]:
+    """Two runs that cover all days of the table (its first and last day are one aggregate row)."""
+    day = F.to_date(to_kst(F.col("ts").cast("timestamp")))
+    first, last = read_events(spark, sf_dir).agg(F.min(day).cast("string"), F.max(day).cast("string")).first()
+    return [(min(first, FIRST_BATCH_END), FIRST_BATCH_END), (SECOND_BATCH_START, max(last, SECOND_BATCH_START))]
+
+
 def q_incremental_weekly_overwrite(spark, sf_dir):
     """Two runs; the second recomputes only its weeks from the table and rewrites
     only those week partitions. The dataset read back covers all weeks."""
@@ -407,8 +419,8 @@ def q_incremental_weekly_overwrite(spark, sf_dir):
     root = scratch_path(spark, "weekly")
     valid = valid_invalid(spark, sf_dir).valid
     snapshot = None
-    for i, (lo, hi) in enumerate([("2024-01-01", FIRST_BATCH_END), (SECOND_BATCH_START, "2024-01-31")]):
-        sess = _sessionize_valid(spark, sf_dir, filter_kst_range(valid, lo, hi), 300, snapshot)
+    for i, (lo, hi) in enumerate(_run_ranges(spark, sf_dir)):
+        sess = _sessionize_valid(spark, sf_dir, filter_kst_range(valid, lo, hi), SEEDED_GAP_SECONDS, snapshot)
         write_staging(to_table_layout(sess), f"{root}/staging-{i}")
         dates = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{root}/staging-{i}")]
         publish_partitions(spark, f"{root}/staging-{i}", f"{root}/final", dates, move=True)
@@ -418,33 +430,98 @@ def q_incremental_weekly_overwrite(spark, sf_dir):
     return comparable(spark.read.parquet(f"{root}/weekly").select("week_start_kst", "weekly_active_sessions"))
 
 
+def _batch_config(root, run_id, lo, hi):
+    from activitykit.plans.batch import BatchConfig
+
+    tag = root.rsplit("-", 1)[1][:12]
+    return BatchConfig(
+        start_date=lo,
+        end_date=hi,
+        run_id=run_id,
+        output_base_path=f"{root}/final",
+        staging_base_path=f"{root}/staging",
+        dlq_base_path=f"{root}/dlq",
+        session_state_base_path=f"{root}/state",
+        run_log_base_path=f"{root}/log",
+        wau_output_base_path=f"{root}/wau",
+        table_name=f"activity_events_{tag}",
+        wau_users_table=f"wau_users_by_week_{tag}",
+        weekly_sessions_table=f"weekly_active_sessions_by_week_{tag}",
+        gap_seconds=SEEDED_GAP_SECONDS,
+    )
+
+
 def _two_batch_runs(spark, sf_dir, name):
-    from activitykit.plans.batch import BatchConfig, run_batch
+    from activitykit.plans.batch import run_batch
     from activitykit.runtime import scratch_path
 
     root = scratch_path(spark, name)
     raw = events_as_activity(spark, sf_dir, dirty=True)
-    tag = root.rsplit("-", 1)[1][:12]
     results = []
-    for i, (lo, hi) in enumerate([("2024-01-01", FIRST_BATCH_END), (SECOND_BATCH_START, "2024-01-31")]):
-        cfg = BatchConfig(
-            start_date=lo,
-            end_date=hi,
-            run_id=f"run-{i}",
-            output_base_path=f"{root}/final",
-            staging_base_path=f"{root}/staging",
-            dlq_base_path=f"{root}/dlq",
-            session_state_base_path=f"{root}/state",
-            run_log_base_path=f"{root}/log",
-            wau_output_base_path=f"{root}/wau",
-            table_name=f"activity_events_{tag}",
-            wau_users_table=f"wau_users_by_week_{tag}",
-            weekly_sessions_table=f"weekly_active_sessions_by_week_{tag}",
-        )
-        results.append(run_batch(spark, cfg, raw))
+    for i, (lo, hi) in enumerate(_run_ranges(spark, sf_dir)):
+        results.append(run_batch(spark, _batch_config(root, f"run-{i}", lo, hi), raw))
     return root, results
 
 
+def q_run_log_phases(spark, sf_dir):
+    """The records of a run that succeeds and of one that the quality gate stops, in phase order."""
+    from activitykit.plans.batch import run_batch
+    from activitykit.plans.quality import QualityGateError
+    from activitykit.plans.run_log import read_run_log
+    from activitykit.runtime import scratch_path
+
+    root = scratch_path(spark, "run-log")
+    raw = events_as_activity(spark, sf_dir, dirty=True)
+    (lo, _), (_, hi) = _run_ranges(spark, sf_dir)
+    run_batch(spark, _batch_config(root, "good", lo, hi), raw)
+    try:
+        run_batch(spark, _batch_config(root, "stopped", lo, hi), raw.withColumn("event_time", F.lit("bad-time")))
+    except QualityGateError:
+        pass
+    logs = [read_run_log(spark, f"{root}/log", run) for run in ("good", "stopped")]
+    return logs[0].unionByName(logs[1]).select("run_id", "seq", "status", "input_row_count")
+
+
+def q_snapshot_roundtrip(spark, sf_dir):
+    """The first run's state is saved, loaded and continued, at a gap that sessions of many users cross."""
+    from activitykit.runtime import scratch_path
+    from activitykit.sources.snapshot_store import load_snapshot, save_snapshot
+
+    base = scratch_path(spark, "state")
+    first = _first_batch(spark, sf_dir, SEEDED_GAP_SECONDS)
+    save_snapshot(build_snapshot(first, FIRST_BATCH_END, RUN_ID), base, FIRST_BATCH_END)
+    second = _second_batch(spark, sf_dir, SEEDED_GAP_SECONDS, load_snapshot(spark, base, FIRST_BATCH_END))
+    return _session_rows(first.unionByName(second))
+
+
+def q_dlq_roundtrip(spark, sf_dir):
+    from activitykit.runtime import scratch_path
+    from activitykit.sources.sinks import write_dlq
+
+    path = scratch_path(spark, "dlq")
+    write_dlq(valid_invalid(spark, sf_dir).invalid, path)
+    return comparable(spark.read.parquet(path))
+
+
+def q_weekly_table_roundtrip(spark, sf_dir):
+    """Weeks registered at a folder of zeros, then re-pointed at the results, read through the table."""
+    import uuid
+
+    from activitykit.runtime import scratch_path
+    from activitykit.sources import catalog, fs
+    from activitykit.sources.sinks import write_weekly
+
+    root = scratch_path(spark, "weekly-table")
+    write_weekly(weekly_sessions(sessionized(spark, sf_dir)), f"{root}/new")
+    write_weekly(spark.read.parquet(f"{root}/new").withColumn("weekly_active_sessions", F.lit(0).cast("long")), f"{root}/old")
+    weeks = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{root}/new") if "=" in d]
+    name = f"weekly_active_sessions_{uuid.uuid4().hex[:12]}"
+    catalog.create_weekly_table(spark, name, "weekly_active_sessions", f"{root}/old")
+    catalog.add_week_partitions(spark, name, f"{root}/old", weeks)
+    catalog.add_week_partitions(spark, name, f"{root}/new", weeks)
+    return comparable(catalog.read_table(spark, name).select("week_start_kst", "weekly_active_sessions"))
+
+
 def q_batch_weekly_sessions(spark, sf_dir):
     root, _ = _two_batch_runs(spark, sf_dir, "batch-sessions")
     path = f"{root}/wau/weekly-active-sessions-by-week"
@@ -510,7 +587,7 @@ def q_streaming_sessions(spark, sf_dir):
     raw = events_as_activity(spark, sf_dir, dirty=True)
     day = F.coalesce(F.to_date(to_kst(parse_event_time("event_time"))), F.lit("0001-01-01").cast("date"))
     cfg = StreamConfig(f"{root}/out", f"{root}/state", f"{root}/dlq", run_id=RUN_ID,
-                       fallback_target_date=TARGET_DATE)
+                       fallback_target_date=TARGET_DATE, gap_seconds=SEEDED_GAP_SECONDS)
     lo = "0001-01-01"
     for hi in STREAM_CHUNK_ENDS:
         cond = day.between(F.lit(lo).cast("date"), F.lit(hi).cast("date")) if lo == "0001-01-01" else (
@@ -525,6 +602,10 @@ def q_streaming_sessions(spark, sf_dir):
 WRITING_QUERIES = {
     "streaming_sessions": q_streaming_sessions,
     "quality_gate": q_quality_gate,
+    "run_log_phases": q_run_log_phases,
+    "snapshot_roundtrip": q_snapshot_roundtrip,
+    "dlq_roundtrip": q_dlq_roundtrip,
+    "weekly_table_roundtrip": q_weekly_table_roundtrip,
     "csv_scan": q_csv_scan,
     "publish_roundtrip": q_publish_roundtrip,
     "catalog_roundtrip": q_catalog_roundtrip,

@@ -29,17 +29,8 @@ DIRT_DUPLICATE = 37
 BAD_TIME_TEXT = "bad-time"
 
 
-def read_events(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
-    """The events table. With ``spread``, an input that scans as fewer splits than
-    the session has cores (a small file holding one row group) is hash-spread on
-    event_id, so the row-wise adapter and normalization work uses every core. A
-    large input already has more splits than cores and is left as it is."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores, "event_id")
-    return df
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def events_as_activity(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
@@ -64,8 +55,6 @@ def activity_from_events(events: DataFrame, dirty: bool = False) -> DataFrame:
         F.when(hit(DIRT_NEGATIVE_PRICE), -F.col("value")).otherwise(F.col("value")).alias("price"),
         F.when(hit(DIRT_NULL_USER_ID), F.lit(None)).otherwise(F.col("user_id")).alias("user_id"),
         e.cast("string").alias("user_session"),
-        hit(DIRT_DUPLICATE).alias("_copy"),
+        F.explode(F.when(hit(DIRT_DUPLICATE), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy"),
     )
-    if dirty:
-        raw = raw.unionByName(raw.where(F.col("_copy")))
     return raw.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SCHEMA.fields])

@@ -32,7 +32,6 @@ from activitykit.operators.dedup import deduplicate
 from activitykit.operators.normalize import normalize
 from activitykit.operators.sessionize import (
     DEFAULT_MAX_USER_ROWS,
-    release_hot_user_tables,
     sessionize,
     user_activity_stats,
 )
@@ -102,7 +101,6 @@ def process_micro_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> N
     if previous is not None:
         snapshot = latest_state_per_user(snapshot, previous)
     snapshot.write.mode("overwrite").parquet(_batch_dir(cfg.state_path, batch_id))
-    release_hot_user_tables()
     # Keep the state this batch read (a retry reads it again) and the new one.
     if previous_id is not None:
         for d in fs.list_dirs(spark, cfg.state_path):

@@ -219,8 +219,8 @@ FROM sess {_week_where('week_start_kst', lo, hi)}
 GROUP BY week_start_kst"""
 
 
-def _weekly_sessions(lo=None, hi=None) -> str:
-    return pipeline() + f""",
+def _weekly_sessions(lo=None, hi=None, gap: int = 300) -> str:
+    return pipeline(gap) + f""",
 sessions AS (SELECT DISTINCT session_id, session_start_week_kst AS week_start_kst FROM sess)
 SELECT CAST(week_start_kst AS VARCHAR) AS week_start_kst, COUNT(*) AS weekly_active_sessions
 FROM sessions {_week_where('week_start_kst', lo, hi)}
@@ -361,16 +361,36 @@ FROM m"""
     ])
     q["publish_roundtrip"] = p + f"\nSELECT {table_rows} FROM sess"
     q["catalog_roundtrip"] = q["wau_users"]
-    q["incremental_weekly_overwrite"] = q["weekly_active_sessions"]
-    q["batch_weekly_sessions"] = q["weekly_active_sessions"]
+    q["incremental_weekly_overwrite"] = _weekly_sessions(gap=SEEDED_GAP_SECONDS)
+    q["batch_weekly_sessions"] = q["incremental_weekly_overwrite"]
+    q["weekly_table_roundtrip"] = q["weekly_active_sessions"]
+    q["snapshot_roundtrip"] = q["sessionize_seeded"]
+    q["dlq_roundtrip"] = (
+        "WITH " + _norm(True).lstrip()
+        + f"\nSELECT {_norm_select(['reject_reason', 'target_date', _raw_payload_sql() + ' AS raw_payload'])} FROM invalid"
+    )
+    q["input_profile"] = "WITH " + _norm(True).lstrip() + f"""
+SELECT CAST(event_date_kst AS VARCHAR) AS event_date_kst, COUNT(*) AS row_count,
+  COUNT(*) FILTER (WHERE r1 OR r2 OR r3 OR r4 OR r5) AS invalid_count,
+  COUNT(*) FILTER (WHERE NOT (r1 OR r2 OR r3 OR r4 OR r5)
+    AND event_date_kst BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}') AS in_range_count
+FROM flags GROUP BY event_date_kst"""
+    q["run_log_phases"] = "WITH " + _norm(True).lstrip() + """
+SELECT run_id, seq, status,
+  CASE WHEN status IN ('DEDUPLICATING', 'SUCCESS') THEN (SELECT COUNT(*) FROM norm) END AS input_row_count
+FROM (VALUES
+  ('good', 1, 'RUNNING'), ('good', 2, 'NORMALIZING'), ('good', 3, 'VALIDATING'), ('good', 4, 'DEDUPLICATING'),
+  ('good', 5, 'SESSIONIZING'), ('good', 6, 'PROMOTING'), ('good', 7, 'REGISTERING_HIVE'), ('good', 8, 'COMPUTING_WAU'),
+  ('good', 9, 'SUCCESS'),
+  ('stopped', 1, 'RUNNING'), ('stopped', 2, 'NORMALIZING'), ('stopped', 3, 'VALIDATING'),
+  ('stopped', 4, 'DEDUPLICATING'), ('stopped', 5, 'SESSIONIZING'), ('stopped', 6, 'FAILED')) AS t(run_id, seq, status)"""
     q["duplicate_groups_export"] = q["duplicate_groups"]
     q["snapshot_export"] = q["session_snapshot"]
-    q["streaming_sessions"] = q["sessionize_300"]
+    q["streaming_sessions"] = q["sessionize_seeded"]
     q["wau_users_sql"] = q["wau_users_range"]
     q["weekly_active_sessions_sql"] = q["weekly_active_sessions_range"]
     runs = []
-    for i, (lo, hi) in enumerate([("2024-01-01", FIRST_BATCH_END), (SECOND_BATCH_START, "2024-01-31")]):
-        rng = f"event_date_kst BETWEEN DATE '{lo}' AND DATE '{hi}'"
+    for i, rng in enumerate([f"event_date_kst <= DATE '{FIRST_BATCH_END}'", f"event_date_kst >= DATE '{SECOND_BATCH_START}'"]):
         runs.append(f"""
 SELECT 'run-{i}' AS run_id,
   (SELECT COUNT(*) FROM norm) AS input_row_count,
@@ -389,5 +409,5 @@ SELECT 'run-{i}' AS run_id,
   (SELECT CAST(COUNT(DISTINCT event_date_kst) AS INTEGER) FROM sess WHERE {rng}) AS output_partition_count,
   (SELECT CAST(MIN(event_date_kst) AS VARCHAR) FROM sess WHERE {rng}) AS output_partition_start,
   (SELECT CAST(MAX(event_date_kst) AS VARCHAR) FROM sess WHERE {rng}) AS output_partition_end""")
-    q["batch_run_metrics"] = p + "\n" + "\nUNION ALL".join(runs)
+    q["batch_run_metrics"] = pipeline(SEEDED_GAP_SECONDS) + "\n" + "\nUNION ALL".join(runs)
     return q

@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from activitykit.plans.preflight import PreflightError, preflight
+from activitykit.plans.preflight import PreflightError, preflight, problems
 from activitykit.plans.quality import QualityGateError, evaluate, gate_of_metrics
 from activitykit.plans.run_log import RunLog, read_run_log
 
@@ -60,27 +60,20 @@ def _cfg(tmp, **kw):
     return SimpleNamespace(**base)
 
 
-def test_preflight_cases(spark, out_dir):
+def test_problems_are_listed_together(spark, out_dir):
     os.makedirs(f"{out_dir}/input")
-    today = dt.date(2020, 1, 1)
-    preflight(spark, _cfg(out_dir), today)
-    with pytest.raises(PreflightError, match="input-path does not exist"):
-        preflight(spark, _cfg(out_dir, input_path=f"{out_dir}/missing"), today)
-    with pytest.raises(PreflightError, match="end-date must not be in the future"):
-        preflight(spark, _cfg(out_dir, end_date="2020-01-02"), today)
-    with pytest.raises(PreflightError, match="yyyy-MM-dd"):
-        preflight(spark, _cfg(out_dir, start_date="2019/10/01"), today)
-    with pytest.raises(PreflightError, match="on or before"):
-        preflight(spark, _cfg(out_dir, start_date="2019-11-01"), today)
-    with pytest.raises(PreflightError, match="output-base-path"):
-        preflight(spark, _cfg(out_dir, output_base_path="  "), today)
-    os.makedirs(f"{out_dir}/staging/run_id=run-1")
-    with pytest.raises(PreflightError, match="staging path for run_id already exists"):
-        preflight(spark, _cfg(out_dir), today)
-    preflight(spark, _cfg(out_dir, run_id="run-2"), today)
-    os.makedirs(f"{out_dir}/log/run_id=run-3")
-    with pytest.raises(PreflightError, match="batch run log path"):
-        preflight(spark, _cfg(out_dir, run_id="run-3"), today)
+    today = dt.date(2023, 5, 4)
+    span = dict(start_date="2023-05-01", end_date="2023-05-03")
+    assert problems(spark, _cfg(out_dir, **span), today) == []
+    bad = _cfg(out_dir, start_date="2023/05/01", end_date="2023-05-09", input_path=f"{out_dir}/none", output_base_path=" ")
+    found = problems(spark, bad, today)
+    assert len(found) == 4 and "start_date is not" in found[0] and "end_date lies in the future" in found[1]
+    assert "ends before it starts" in problems(spark, _cfg(out_dir, start_date="2023-05-03", end_date="2023-05-02"), today)[0]
+    for folder in ("staging", "dlq", "log"):
+        os.makedirs(f"{out_dir}/{folder}/run_id={folder}-1")
+        with pytest.raises(PreflightError, match=f"run_id {folder}-1 already has"):
+            preflight(spark, _cfg(out_dir, run_id=f"{folder}-1", **span), today)
+    preflight(spark, _cfg(out_dir, run_id="fresh", **span), today)
 
 
 def test_run_log_history(spark, out_dir):
@@ -101,22 +94,19 @@ def test_run_log_history(spark, out_dir):
     assert read_run_log(spark, f"{out_dir}/log", "run-1").where(F.col("status") == "X").count() == 0
 
 
-def test_preflight_future_start_and_failed_log_fields(spark, out_dir):
-    os.makedirs(f"{out_dir}/input")
-    today = dt.date(2019, 10, 1)
-    with pytest.raises(PreflightError, match="start-date must not be in the future"):
-        preflight(spark, _cfg(out_dir, start_date="2019-10-02", end_date="2019-10-02"), today)
-    # a failed run writes a FAILED record with the message and the run's paths
+def test_failed_run_is_logged_with_its_message(spark, out_dir):
     from activitykit.plans.batch import BatchConfig, run_batch
 
+    os.makedirs(f"{out_dir}/input")
     cfg = BatchConfig(start_date="2999-01-01", end_date="2999-01-02", run_id="future-1",
                       input_path=f"{out_dir}/input", output_base_path=f"{out_dir}/final",
                       staging_base_path=f"{out_dir}/staging", dlq_base_path=f"{out_dir}/dlq",
+                      session_state_base_path=f"{out_dir}/state", wau_output_base_path=f"{out_dir}/wau",
                       run_log_base_path=f"{out_dir}/log")
-    with pytest.raises(PreflightError):
+    with pytest.raises(PreflightError, match="lies in the future"):
         run_batch(spark, cfg)
     rec = read_run_log(spark, f"{out_dir}/log", "future-1").collect()
     assert [r.status for r in rec] == ["FAILED"]
-    assert "must not be in the future" in rec[0].message
+    assert "start_date lies in the future" in rec[0].message and "end_date lies in the future" in rec[0].message
     assert rec[0].processing_start_date == "2999-01-01" and rec[0].snapshot_seed_date == "2998-12-31"
     assert rec[0].input_row_count is None

@@ -10,24 +10,32 @@ def _lines(plan, word):
     return [line for line in plan.splitlines() if word in line]
 
 
-def test_hot_path_broadcasts_only_under_the_limit(spark):
-    valid = valid_invalid(spark, SF_MID).valid
+def test_hot_path_leaves_broadcasts_to_spark(spark):
     dedup = deduplicated(spark, SF_MID)
-    stats = user_activity_stats(valid)
+    stats = user_activity_stats(valid_invalid(spark, SF_MID).valid)
+    # the hot users are a written table: Spark knows its size and broadcasts it while it is small
     small = plan_text(sessionize(dedup, user_stats=stats, max_user_rows=20))
-    assert len(_lines(small, "BroadcastHashJoin")) >= 3 and not _lines(small, "SortMergeJoin")
-    # over the limit nothing is forced to broadcast (Spark's own size-based choice is
-    # switched off here to see what the code asks for)
+    assert _lines(small, "BroadcastHashJoin")
+    # no hint forces a broadcast
     key = "spark.sql.autoBroadcastJoinThreshold"
     old = spark.conf.get(key)
     spark.conf.set(key, "-1")
     try:
-        big = plan_text(sessionize(dedup, user_stats=stats, max_user_rows=20, broadcast_row_limit=0))
+        big = plan_text(sessionize(dedup, user_stats=stats, max_user_rows=20))
     finally:
         spark.conf.set(key, old)
     assert not _lines(big, "BroadcastExchange") and _lines(big, "SortMergeJoin")
 
 
+def test_weekly_users_shuffle_only_what_they_need(spark):
+    from activitykit import weekly_users
+
+    plan = plan_text(weekly_users(sessionized(spark, SF_MID)))
+    assert not _lines(plan, "SortAggregate")
+    shuffled = [line for line in plan.splitlines() if "partial_first" in line]
+    assert shuffled and not any("category_code" in line.split("functions=")[1] for line in shuffled)
+
+
 def test_snapshot_and_weekly_aggregate_before_shuffling(spark):
     sess = sessionized(spark, SF_MID)
     snap = plan_text(build_snapshot(sess, "d", "r"))

@@ -94,9 +94,14 @@ def test_carry_over_only_first_local_session(spark, raw):
     assert out == {(3001, "15:02:00"): "14:58:00", (3001, "15:20:00"): "15:20:00", (4001, "15:02:00"): "15:02:00"}
 
 
-def test_gap_limit(spark, raw):
+def test_gap_over_a_day_and_bad_gap(spark, raw):
+    rows = [raw_row(event_time="2021-03-01 06:00:00 UTC", user_id=55, user_session="p"),
+            raw_row(event_time="2021-03-02 18:00:00 UTC", user_id=55, user_session="q"),
+            raw_row(event_time="2021-03-05 18:00:01 UTC", user_id=55, user_session="r")]
+    out = {r.raw_user_session: r.session_start_time_utc.day for r in _sess(raw, rows, gap_seconds=172_800).collect()}
+    assert out == {"p": 1, "q": 1, "r": 5}
     with pytest.raises(ValueError):
-        _sess(raw, _times(1, "00:00:00"), gap_seconds=90_000)
+        _sess(raw, rows, gap_seconds=0)
 
 
 def _rows(df):
@@ -107,11 +112,10 @@ def _rows(df):
 
 
 @pytest.mark.parametrize("gap", [300, 3600])
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_hot_user_split_is_exact(spark, gap, limit):
+def test_hot_user_split_is_exact(spark, gap):
     dedup = deduplicated(spark, SF_MID)
     plain = sessionize(dedup, gap_seconds=gap, max_user_rows=None)
-    split = sessionize(dedup, gap_seconds=gap, max_user_rows=7, broadcast_row_limit=limit)
+    split = sessionize(dedup, gap_seconds=gap, max_user_rows=7)
     assert _rows(plain) == _rows(split)
 
 
@@ -144,14 +148,12 @@ def test_single_shuffle_without_hot_users(spark):
     s = sessionize(deduplicated(spark, SF_MID), max_user_rows=None)
     plan = plan_text(s)
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    # past the input spread (event_id, test input only): dedup_key, then user_id for the window
-    work = [e for e in exchanges if "hashpartitioning(event_id" not in e]
-    assert len(work) == 2
-    assert "hashpartitioning(dedup_key" in work[1] and "hashpartitioning(user_id" in work[0]
+    assert len(exchanges) == 2
+    assert "hashpartitioning(dedup_key" in exchanges[1] and "hashpartitioning(user_id" in exchanges[0]
 
 
 def test_split_exact_with_stats_from_another_source(spark):
-    # stats that miss the early rows and undercount: cuts move, results do not
+    # stats that miss the early rows and undercount: other users go by seconds, results do not change
     dedup = deduplicated(spark, SF_MID)
     late = dedup.where(F.col("event_time_utc") > F.lit("2024-01-10").cast("timestamp"))
     plain = sessionize(dedup, max_user_rows=None)
@@ -159,17 +161,28 @@ def test_split_exact_with_stats_from_another_source(spark):
     assert _rows(plain) == _rows(split)
 
 
-def test_hot_tables_are_released(spark):
-    from activitykit import release_hot_user_tables
-    from activitykit.operators import sessionize as _  # noqa: F401
-    import sys
+def test_burst_is_one_window_row_a_second(spark):
+    from activitykit.operators.sessionize import _by_seconds, _window_pass
 
-    mod = sys.modules["activitykit.operators.sessionize"]
-    release_hot_user_tables()  # earlier tests in this session may have left some
-    dedup = deduplicated(spark, SF_MID)
-    s = sessionize(dedup, max_user_rows=7)
-    assert len(mod._CACHED_HOT) == 1 and mod._CACHED_HOT[0].is_cached
-    cached = mod._CACHED_HOT[0]
-    s.count()
-    release_hot_user_tables()
-    assert not mod._CACHED_HOT and not cached.is_cached
+    # 3,000 events of one user in three seconds of one hour, then one a month later
+    rows = spark.range(3001).select(
+        F.lit(9).cast("long").alias("user_id"),
+        F.when(F.col("id") == 3000, F.lit("2022-07-31 10:00:00")).otherwise(
+            F.concat(F.lit("2022-07-01 10:1"), (F.col("id") % 3).cast("string"), F.lit(":00"))).cast("timestamp").alias("event_time_utc"),
+        (F.col("id") % 5).alias("product_id"),
+        F.lit("view").alias("event_type"),
+        F.sha2(F.col("id").cast("string"), 256).alias("dedup_key"),
+    )
+    key = ["dedup_key", "session_start_time_utc", "session_opened"]
+    for gap in (30, 60, 61, 300):
+        plain = {tuple(r) for r in _window_pass(rows, None, gap).select(key).collect()}
+        assert {tuple(r) for r in _by_seconds(rows, None, gap).select(key).collect()} == plain
+    assert rows.groupBy("event_time_utc").count().count() == 4  # what a window task holds
+
+
+def test_session_opened_with_seed_and_hot_user(spark, raw):
+    snap = _snapshot(spark, dt.datetime(2019, 10, 1, 14, 58), dt.datetime(2019, 10, 1, 15, 0))
+    rows = _times(3001, "15:02:00", "15:02:30", "15:03:00", "15:30:00")
+    for limit in (None, 2):
+        out = _sess(raw, rows, previous_snapshot=snap, max_user_rows=limit, with_session_opened=True)
+        assert out.where("session_opened").count() == out.select("session_id").distinct().count() == 2

@@ -86,7 +86,7 @@ def test_matches_brute_force(spark, events, seeds, gap, split):
         "user_id long, last_event_time_utc timestamp, last_session_start_time_utc timestamp",
     ) if seed_rows else None
     out = sessionize(df, snap, gap_seconds=gap, max_user_rows=3 if split else None,
-                     broadcast_row_limit=1 if split else 1_000_000)
+                     with_session_opened=True)
     got = {r.dedup_key: (r.session_start_time_utc, r.session_id) for r in
            out.select("dedup_key", "session_start_time_utc", "session_id").collect()}
     want = _expected([r[:5] for r in rows], seed_rows, gap)
@@ -94,3 +94,4 @@ def test_matches_brute_force(spark, events, seeds, gap, split):
     users = {r[4]: r[0] for r in rows}
     assert all(v[1] == _sid(users[k], v[0]) for k, v in got.items())
     assert out.where(F.col("session_id").isNull()).count() == 0
+    assert out.where("session_opened").count() == len({v[1] for v in got.values()})
