@@ -20,7 +20,8 @@ whose size best cancels the source's remaining error.
 
 Edge cases: a null source is a source; null or empty texts have size 0 and are taken 0 words;
 repeated rows share a hash and are rounded alike; rows with a null doc_id hash as the empty text
-and do too; a table without words has targets 0; an empty table gives none.
+and do too; a table without words has targets 0; an empty table gives none; other columns of any name
+pass through ``mixed_documents``.
 """
 
 from __future__ import annotations
@@ -161,8 +162,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUD
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, cap: int = CAP) -> DataFrame:
     """``docs`` with each row as often as the mix takes it."""
-    copies = mix(docs, weights, budget, cap).filter("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "size", "copies").distinct()
-    size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (size == F.col("size"))
-    times = docs.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return times.select(*docs.columns)
+    copies = mix(docs, weights, budget, cap).filter("copies > 0").select("doc_id", "source", "size", "copies").distinct()
+    size = F.coalesce(F.regexp_count("d.text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & _same_source("d", "c") & (size == F.col("c.size"))
+    times = F.explode(F.sequence(F.lit(1), F.col("c.copies").cast("int")))
+    taken = docs.alias("d").join(copies.alias("c"), same)
+    # the row as one value, so that none of its columns can clash with the copy number
+    return taken.select(F.struct("d.*").alias("_row"), times.alias("_copy")).select("_row.*")

@@ -13,7 +13,7 @@ are split by the adaptive skew join.
 Edge cases: a null text has no units and stays null; a null doc_id ranks after all others; rows
 that share a doc_id and text are repeats of one document and get the same result (rows that share
 only the doc_id are told apart by their text); ties of rank only occur between such rows; an empty
-table gives none; other columns pass through ``clean`` untouched.
+table gives none; other columns pass through ``clean`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activitykit.llm.common import cut_lineage, slices
+from activitykit.llm.common import cut_lineage, free_name, slices
 
 SPLIT = {"line": "\n", "paragraph": "\n\n"}
 COUNTS = "n_units long, n_removed long, removed_spans string, text string"
@@ -52,19 +52,19 @@ def clean(docs: DataFrame, unit: str = "line") -> DataFrame:
 
     ``removed_spans``: ``start:end`` code-point offsets in the original text, joined by commas.
     """
-    gone = removals(docs, unit).withColumnsRenamed({"doc_id": "_gone_id", "sig": "_gone_sig", "removed": "_gone"})
+    sig, gone_at = free_name("_sig", docs.columns), free_name("_gone", docs.columns)
+    gone = removals(docs, unit).withColumnRenamed("removed", gone_at)
     held = [c for c in docs.columns if c not in ("n_units", "n_removed", "removed_spans")]
-    both = docs.select(*held, F.xxhash64("text").alias("_sig")).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_sig") == F.col("_gone_sig")), "left"
-    )
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col(f"d.{sig}") == F.col("g.sig"))
+    both = docs.select(*held, F.xxhash64("text").alias(sig)).alias("d").join(gone.alias("g"), same, "left")
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(held).schema if f.name != "text"] + [COUNTS])
-    return both.select(*held, "_gone").mapInArrow(_rewriter(SPLIT[unit], held), schema).select(*held, "n_units", "n_removed", "removed_spans")
+    return both.select(*[f"d.{c}" for c in held], f"g.{gone_at}").mapInArrow(_rewriter(SPLIT[unit], held, gone_at), schema).select(*held, "n_units", "n_removed", "removed_spans")
 
 
-def _rewriter(split: str, held: list[str]):
+def _rewriter(split: str, held: list[str], gone_at: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            rows = [_rewrite(t, g, split) for t, g in zip(part.column("text").to_pylist(), part.column("_gone").to_pylist())]
+            rows = [_rewrite(t, g, split) for t, g in zip(part.column("text").to_pylist(), part.column(gone_at).to_pylist())]
             n_units, n_removed, spans, texts = ([r[i] for r in rows] for i in range(4))
             names = [c for c in held if c != "text"]
             yield pa.RecordBatch.from_arrays(

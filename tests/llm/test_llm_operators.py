@@ -314,3 +314,19 @@ def test_sha_of_kept_bytes(spark, docs):
     row = llm_queries()["op3_suffix_dedup"](spark, SF).filter("n_removed = 0").first()
     text = spark.read.parquet(f"{SF}/documents.parquet").filter(F.col("doc_id") == row.doc_id).first().text
     assert row.kept_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_clashing_column_names_pass_through(spark):
+    from activitykit.llm import mixing, quality_llr, simhash, substring_dedup
+
+    names = ["size", "copies", "_copy", "_sig", "_gone", "sig", "removed", "key", "fp", "component_id", "root", "kept", "llr", "target"]
+    rows = [(k, f"line one\nown {k}\n" + "word " * k, "en", f"s{k % 2}", 5, *[f"{n}{k}" for n in names]) for k in range(1, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"{n} string" for n in names))
+    given = {r.doc_id: r[5:] for r in docs.collect()}
+    stages = [substring_dedup.clean(docs).select(docs.columns), mixing.mixed_documents(docs), simhash.keep_one(docs),
+              quality_llr.quality(docs, quality_llr.fit_weights(docs, spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")), keep_columns=True)]
+    for out in stages:
+        assert out.columns == docs.columns
+        assert all(given[r.doc_id] == r[5:] for r in out.collect())
+    kept = {r.doc_id: r.text for r in stages[0].collect()}
+    assert kept[1].startswith("line one") and not kept[2].startswith("line one") and kept[2].startswith("own 2")
