@@ -2,7 +2,8 @@
 
 A text is cut into sentences: after ``.``, ``!``, ``?``, ``:`` or ``;`` followed by white space, and at
 line ends, except where a line that does not end in such a mark runs on in lower case on the next
-(wrapped notices). A sentence is normalised: lower case, comment marks and quotes dropped, runs of
+(wrapped notices). The colon of an SPDX tag cuts nothing: tag and expression are one sentence, so ``MIT
+OR Apache-2.0`` is never taken for its first half. A sentence is normalised: lower case, comment marks and quotes dropped, runs of
 other characters than letters, digits, ``.``, ``-`` and ``+`` made one space, outer spaces and dots
 trimmed. ``SENTENCES`` maps normalised sentences to known licence-sentence identifiers; ``RULES``
 are ordered identifier sequences. Rules are tried in order, each consumes the identifiers it
@@ -67,7 +68,9 @@ RULES = [
 #: Every known sentence has one of these, so other texts need no cutting.
 HINT = "(?i)licen|notice|free software|free software foundation|rights reserved|redistribution"
 WRAPPED = r"([^.!?:;\n])\n[ \t]*(?:(?:#|//|\*|--)[ \t]*)?([a-z\"(])"
-MARK = r"([.!?:;])[\x20\x09-\x0D]+"
+# an SPDX tag and its expression are one sentence, which ends where the expression does
+SPDX = r"(?i:spdx-license-identifier:)[\x20\x09]*[^\x20\x09-\x0D]+(?:[\x20\x09]+(?:OR|AND|WITH)[\x20\x09]+[^\x20\x09-\x0D]+)*"
+MARK = rf"({SPDX}|[.!?:;])(?:[\x20\x09-\x0D]+|\z)"
 NOISE = r"[^\p{L}\p{N}.+\-]+"
 
 

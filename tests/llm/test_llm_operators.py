@@ -142,6 +142,27 @@ def test_licenses(spark, docs):
     assert all(hint.search(s) for s in license_scan.SENTENCES if not s.startswith(("either", "neither")))
 
 
+def _scanned(spark, texts):
+    """Scan results by text; the SQL form must agree."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", rows.toPandas())
+    want = con.sql(license_scan.scan_sql())
+    got = license_scan.scan(rows).select(*want.columns).collect()
+    assert Counter(map(tuple, got)) == Counter(want.fetchall())
+    return {texts[r.doc_id]: r for r in got}
+
+
+def test_spdx_lines(spark):
+    texts = ["SPDX-License-Identifier: MIT", "// SPDX-License-Identifier: Apache-2.0\npackage main", "# SPDX-License-Identifier:\tMIT\n\nimport os",
+             "/* SPDX-License-Identifier: MIT */\nint x;", "words. SPDX-License-Identifier: MIT. More words.", "SPDX-License-Identifier:Apache-2.0"]
+    other = ["SPDX-License-Identifier: MIT AND Unknown-1.0", "SPDX-License-Identifier:\nMIT", "SPDX-License-Identifier: "]
+    got = _scanned(spark, texts + other)
+    for t in texts:
+        assert (got[t].licenses, got[t].unmatched) == ("MIT" if "MIT" in t else "Apache-2.0", ""), t
+    assert all(got[t].licenses == "" for t in other)
+
+
 def test_nearest_recall_and_bad_vectors(spark, docs):
     r = np.random.default_rng(5)
     rows = [(i, [float(x) for x in r.standard_normal(16)]) for i in range(800)]
