@@ -1,8 +1,8 @@
 """License recognition by sentences, in DataFrame functions only.
 
 A text is cut into sentences: after ``.``, ``!``, ``?``, ``:`` or ``;`` followed by white space, and at
-line ends, except where a line that does not end in such a mark runs on in lower case on the next
-(wrapped notices). The colon of an SPDX tag cuts nothing: tag and expression are one sentence, so ``MIT
+line ends, except where a line that does not end in such a mark runs on in lower case, or with a word
+of a licence's name, on the next (wrapped notices). The colon of an SPDX tag cuts nothing: tag and expression are one sentence, so ``MIT
 OR Apache-2.0`` is never taken for its first half. A sentence is normalised: lower case, comment marks and quotes dropped, runs of
 other characters than letters, digits, ``.``, ``-`` and ``+`` made one space, outer spaces and dots
 trimmed. ``SENTENCES`` maps normalised sentences to known licence-sentence identifiers; ``RULES``
@@ -10,6 +10,9 @@ are ordered identifier sequences. Rules are tried in order, each consumes the id
 matched, and what is left is reported as unmatched. Both tables are small constants that travel in
 the plan, so the scan is a projection: no join, no shuffle, one row per document.
 
+Held are the standard notices (and SPDX lines) of the licences in ``RULES``; other licences, full GNU
+texts by title and reworded notices are not recognised.
+
 Edge cases: null, empty and unlicensed texts give an empty list; repeated rows give a row each; a
 null doc_id is kept; an empty table gives none; other columns are ignored.
 """
@@ -21,28 +24,51 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# fixed values: normalised licence sentences and their identifiers
+# fixed values: normalised licence sentences and their identifiers, from the standard licence texts and notices
 SENTENCES = {
     "licensed under the apache license version 2.0": "apache2-under",
     "licensed under the apache license version 2.0 the license": "apache2-under",
+    "the asf licenses this file to you under the apache license version 2.0 the license": "apache2-under",
     "you may not use this file except in compliance with the license": "apache2-comply",
     "you may obtain a copy of the license at": "apache2-copy",
+    "apache license version 2.0 january 2004": "apache2-title",
+    "apache license version 2.0 january 2004 http www.apache.org licenses": "apache2-title",
     "spdx-license-identifier apache-2.0": "apache2-spdx",
     "released under the mit license": "mit-under",
     "licensed under the mit license": "mit-under",
     "spdx-license-identifier mit": "mit-spdx",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-notice",
     "this work is licensed under the gnu general public license version 3": "gpl3-under",
     "this program is free software": "gpl-free",
-    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-terms",
+    "this library is free software": "lgpl-free",
     "either version 2 of the license or at your option any later version": "gpl2-later",
+    "either version 2.1 of the license or at your option any later version": "gpl21-later",
     "either version 3 of the license or at your option any later version": "gpl3-later",
+    "version 2 of the license": "gpl2-only",
+    "version 2": "gpl2-only",
+    "version 2.1 of the license": "gpl21-only",
+    "version 2.1": "gpl21-only",
+    "version 3 of the license": "gpl3-only",
+    "version 3": "gpl3-only",
     "licensed under cc by-nc 4.0": "ccbync4-under",
     "licensed under cc by 4.0": "ccby4-under",
     "licensed under cc by-sa 4.0": "ccbysa4-under",
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd-redistribution",
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-endorse",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0bsd-grant",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl2-terms",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla.org mpl 2.0": "mpl2-copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla.org mpl 2.0": "mpl2-copy",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which is available at https www.eclipse.org legal epl-2.0": "epl2-terms",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which is available at http www.eclipse.org legal epl-2.0": "epl2-terms",
+    "distributed under the boost software license version 1.0": "bsl1-under",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide": "cc0-dedicate",
+    "this is free and unencumbered software released into the public domain": "unlicense-release",
     "all rights reserved": "all-rights",
 }
 
@@ -53,21 +79,82 @@ RULES = [
     ("GPL-2.0-or-later", ["gpl-free", "gpl-terms", "gpl2-later"]),
     ("BSD-3-Clause", ["bsd-redistribution", "bsd-source", "bsd-endorse"]),
     ("BSD-2-Clause", ["bsd-redistribution", "bsd-source"]),
+    ("MIT", ["mit-grant", "mit-notice"]),
+    ("MPL-2.0", ["mpl2-terms", "mpl2-copy"]),
+]
+
+# The notices of the Free Software Foundation: kind of licence, its name, (version, its sentences' short form)
+GNU = [
+    ("gpl", "GPL", "gnu general public license", [("3.0", "3", "3"), ("2.0", "2", "2")]),
+    ("lgpl", "LGPL", "gnu lesser general public license", [("3.0", "3", "3"), ("2.1", "2.1", "21")]),
+    ("lgpl2", "LGPL", "gnu library general public license", [("2.0", "2", "2")]),
+    ("agpl", "AGPL", "gnu affero general public license", [("3.0", "3", "3")]),
+]
+for kind, short, full, versions in GNU:
+    terms = f"you can redistribute it and or modify it under the terms of the {full} as published by the free software foundation"
+    SENTENCES[terms] = f"{kind}-terms"
+    for version, said, code in versions:
+        # after a comma the version stays in the sentence, after a semicolon it is one of its own
+        SENTENCES[f"{terms} either version {said} of the license or at your option any later version"] = f"{kind}{code}-terms-later"
+        for only in (f"{terms} version {said} of the license", f"{terms} version {said}", terms.replace(" as published", f" version {said} as published")):
+            SENTENCES[only] = f"{kind}{code}-terms-only"
+        for choice, name in (("later", f"{short}-{version}-or-later"), ("only", f"{short}-{version}-only")):
+            for free in ([["lgpl-free"]] if short == "LGPL" else []) + [["gpl-free"], []]:  # or the name of a program, which no table can hold
+                RULES += [(name, [*free, f"{kind}{code}-terms-{choice}"]), (name, [*free, f"{kind}-terms", f"gpl{code}-{choice}"])]
+RULES = list({tuple(ids): (name, ids) for name, ids in RULES}.values())
+
+for kind, full, name in (
+    ("ccby4", "attribution", "CC-BY-4.0"),
+    ("ccbysa4", "attribution-sharealike", "CC-BY-SA-4.0"),
+    ("ccbync4", "attribution-noncommercial", "CC-BY-NC-4.0"),
+    ("ccbyncsa4", "attribution-noncommercial-sharealike", "CC-BY-NC-SA-4.0"),
+    ("ccbynd4", "attribution-noderivatives", "CC-BY-ND-4.0"),
+    ("ccbyncnd4", "attribution-noncommercial-noderivatives", "CC-BY-NC-ND-4.0"),
+):
+    SENTENCES |= {f"this work is licensed under {a} creative commons {full} 4.0 international license": f"{kind}-under" for a in ("a", "the")}
+
+RULES += [
     ("Apache-2.0", ["apache2-under"]),
+    ("Apache-2.0", ["apache2-title"]),
     ("Apache-2.0", ["apache2-spdx"]),
     ("MIT", ["mit-under"]),
     ("MIT", ["mit-spdx"]),
+    ("MIT", ["mit-grant"]),
     ("MIT", ["mit-notice"]),
     ("GPL-3.0-only", ["gpl3-under"]),
+    ("ISC", ["isc-grant"]),
+    ("0BSD", ["0bsd-grant"]),
+    ("MPL-2.0", ["mpl2-terms"]),
+    ("EPL-2.0", ["epl2-terms"]),
+    ("BSL-1.0", ["bsl1-under"]),
+    ("Zlib", ["zlib-grant"]),
+    ("CC0-1.0", ["cc0-dedicate"]),
+    ("Unlicense", ["unlicense-release"]),
     ("CC-BY-NC-4.0", ["ccbync4-under"]),
     ("CC-BY-SA-4.0", ["ccbysa4-under"]),
     ("CC-BY-4.0", ["ccby4-under"]),
-    ("Proprietary", ["all-rights"]),
+    ("CC-BY-NC-SA-4.0", ["ccbyncsa4-under"]),
+    ("CC-BY-ND-4.0", ["ccbynd4-under"]),
+    ("CC-BY-NC-ND-4.0", ["ccbyncnd4-under"]),
 ]
 
+# SPDX lines of these licences; GNU names without a choice are the deprecated forms
+for name in list(dict.fromkeys(n for n, _ in RULES)):
+    tag = f"{name.lower()}-spdx"
+    if name not in ("Apache-2.0", "MIT"):
+        SENTENCES[f"spdx-license-identifier {name.lower()}"] = tag
+        RULES.append((name, [tag]))
+    if name.endswith("-or-later"):
+        SENTENCES[f"spdx-license-identifier {name.lower().removesuffix('-or-later')}+"] = tag
+    elif name.endswith("-only"):
+        SENTENCES[f"spdx-license-identifier {name.lower().removesuffix('-only')}"] = tag
+for either in ("mit or apache-2.0", "apache-2.0 or mit"):
+    SENTENCES[f"spdx-license-identifier {either}"] = "apache2-or-mit-spdx"
+RULES += [("Apache-2.0 OR MIT", ["apache2-or-mit-spdx"]), ("Proprietary", ["all-rights"])]
+
 #: Every known sentence has one of these, so other texts need no cutting.
-HINT = "(?i)licen|notice|free software|free software foundation|rights reserved|redistribution"
-WRAPPED = r"([^.!?:;\n])\n[ \t]*(?:(?:#|//|\*|--)[ \t]*)?([a-z\"(])"
+HINT = "(?i)licen|notice|software|reserved|redistribution|permission|domain|mpl|version"
+WRAPPED = r"([^.!?:;\n])\n[ \t]*(?:(?:#|//|\*|--)[ \t]*)?([a-z\"(]|(?:GNU|Lesser|Library|Affero|General|Public|License|Free|Software|Foundation|Apache|Version|Mozilla|Eclipse|Boost|Creative|Commons|Attribution|International)\b)"
 # an SPDX tag and its expression are one sentence, which ends where the expression does
 SPDX = r"(?i:spdx-license-identifier:)[\x20\x09]*[^\x20\x09-\x0D]+(?:[\x20\x09]+(?:OR|AND|WITH)[\x20\x09]+[^\x20\x09-\x0D]+)*"
 MARK = rf"({SPDX}|[.!?:;])(?:[\x20\x09-\x0D]+|\z)"
@@ -92,12 +179,17 @@ def scan(docs: DataFrame) -> DataFrame:
     out = docs.select("doc_id", F.array_join(sentence_ids(), ",").alias("sentence_ids"))
     # identifiers as ",a,,b,": a sequence matches only as a run of whole identifiers
     rest: Column = F.when(F.col("sentence_ids") == "", "").otherwise(F.concat(F.lit(","), F.replace("sentence_ids", F.lit(","), F.lit(",,")), F.lit(",")))
-    for k, (_, ids) in enumerate(RULES):
-        run = "".join(f",{i}," for i in ids)
-        out = out.withColumn(f"_left{k}", F.replace(rest, F.lit(run), F.lit("|"))).withColumn(f"_hit{k}", rest.contains(run))
-        rest = F.col(f"_left{k}")
-    names = F.array_distinct(F.array_compact(F.array(*[F.when(F.col(f"_hit{k}"), F.lit(name)) for k, (name, _) in enumerate(RULES)])))
-    left = F.regexp_replace(F.regexp_replace(rest, r"[|,]+", ","), "^,|,$", "")
+    runs = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f",{i}," for i in ids)).alias("run")) for name, ids in RULES])
+    start = F.struct(rest.alias("rest"), F.array().cast("array<string>").alias("hits"))
+
+    def tried(s: Column, rule: Column) -> Column:
+        hits = F.when(s["rest"].contains(rule["run"]), F.array_append(s["hits"], rule["name"])).otherwise(s["hits"])
+        return F.struct(F.replace(s["rest"], rule["run"], F.lit("|")).alias("rest"), hits.alias("hits"))
+
+    out = out.withColumn("_told", F.when(F.col("sentence_ids") == "", start).otherwise(F.aggregate(runs, start, tried)))
+    ordered = F.array(*[F.lit(name) for name in dict.fromkeys(name for name, _ in RULES)])
+    names = F.filter(ordered, lambda name: F.array_contains("_told.hits", name))
+    left = F.regexp_replace(F.regexp_replace("_told.rest", r"[|,]+", ","), "^,|,$", "")
     return out.select("doc_id", F.array_join(names, ",").alias("licenses"), "sentence_ids", left.alias("unmatched"))
 
 

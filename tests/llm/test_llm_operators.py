@@ -163,6 +163,59 @@ def test_spdx_lines(spark):
     assert all(got[t].licenses == "" for t in other)
 
 
+GNU = "{0} is free software{1} you can redistribute it and/or modify\nit under the terms of the GNU {2} as published by\nthe Free Software Foundation{3}{4}\n\n{0} is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY."
+LATER = " either version {} of the License, or\n(at your option) any later version."
+GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:"
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n"
+NOTICES = [
+    ("Apache-2.0", "Copyright 2020 A\n\nLicensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "The ASF licenses this file to You under the Apache License, Version 2.0\n(the \"License\"); you may not use this file except in compliance with\nthe License.  You may obtain a copy of the License at"),
+    ("Apache-2.0", "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS"),
+    ("MIT", f"MIT License\n\n{GRANT}\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software."),
+    ("MIT", GRANT),
+    ("BSD-2-Clause", BSD),
+    ("BSD-3-Clause", BSD + "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies."),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available at\nhttps://www.eclipse.org/legal/epl-2.0/"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file LICENSE_1_0.txt)"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:"),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright\nand related and neighboring rights to this software to the public domain\nworldwide."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0\nInternational License."),
+    ("CC-BY-SA-4.0", "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
+    ("Apache-2.0 OR MIT", "// SPDX-License-Identifier: MIT OR Apache-2.0"),
+    ("GPL-2.0-or-later", "/* SPDX-License-Identifier: GPL-2.0+ */"),
+    ("GPL-2.0-only", "// SPDX-License-Identifier: GPL-2.0"),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version."),
+]
+for _kind, _name, _version in [("GPL", "General Public License", "3"), ("GPL", "General Public License", "2"), ("LGPL", "Lesser General Public License", "3"),
+                               ("LGPL", "Lesser General Public License", "2.1"), ("LGPL", "Library General Public License", "2"), ("AGPL", "Affero General Public License", "3")]:
+    _id = f"{_kind}-{_version}{'' if '.' in _version else '.0'}"
+    for _first in ("This library" if _kind == "LGPL" else "This program", "This program", "Foobar"):
+        for _mark, _end in ((":", ","), (";", ";")):
+            NOTICES.append((f"{_id}-or-later", GNU.format(_first, _mark, _name, _end, LATER.format(_version))))
+            NOTICES.append((f"{_id}-only", GNU.format(_first, _mark, _name, _end, f" version {_version} of the License.")))
+            NOTICES.append((f"{_id}-only", GNU.format(_first, _mark, _name, _end, f" version {_version}.")))
+NOTICES += [(n, f"# SPDX-License-Identifier: {n}") for n in dict.fromkeys(n for n, _ in license_scan.RULES) if " " not in n and n != "Proprietary"]
+
+
+def test_every_rule_on_its_canonical_notice(spark):
+    got = _scanned(spark, [t for _, t in NOTICES])
+    for name, text in NOTICES:
+        assert (got[text].licenses, got[text].unmatched) == (name, ""), text
+    assert {n for n, _ in NOTICES} == {n for n, _ in license_scan.RULES} - {"Proprietary"}
+    commented = {t: "\n".join(f" * {line}" for line in t.split("\n")) for _, t in NOTICES if "1." not in t}
+    again = _scanned(spark, list(commented.values()))
+    assert all(again[commented[t]].licenses == n for n, t in NOTICES if t in commented)
+
+
 def test_nearest_recall_and_bad_vectors(spark, docs):
     r = np.random.default_rng(5)
     rows = [(i, [float(x) for x in r.standard_normal(16)]) for i in range(800)]
