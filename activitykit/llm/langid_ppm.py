@@ -10,8 +10,9 @@ ASCII-lower-cased UTF-8 bytes, and the score is the posterior under equal priors
 a byte, so it lies in (0, 1].
 
 The trees are learned from a bounded sample: of each language the ``rows_per_language`` training
-rows with the smallest hash, and of each the first ``bytes_per_row`` bytes. That bounds the model,
-which is broadcast. Every document is scored, over its whole text.
+rows with the smallest hash, each over its whole text. Their windows are counted in Spark and only
+the sums a language come to the driver, so the model, which is broadcast, grows with the different
+windows of these rows and not with their length. Every document is scored, over its whole text.
 
 A byte's cost depends on the last ``order + 1`` bytes alone, so the trees are stored as hash tables
 of the windows that occur in any language, a row of costs (one a language) each, and a text is
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,21 +40,79 @@ from activitykit.llm.common import slices
 
 ORDER = 3
 ROWS_PER_LANGUAGE = 400
-BYTES_PER_ROW = 4096
+CHUNK = 1 << 20
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 LETTER = re.compile(r"[^\W\d_]")
 
 
-def training_sample(docs: DataFrame, is_training: Column, rows_per_language: int = ROWS_PER_LANGUAGE, bytes_per_row: int = BYTES_PER_ROW) -> list[tuple[str, bytes]]:
-    """At most ``rows_per_language`` rows a language, by hash of doc_id and text; ties cannot change the bytes."""
-    piece = F.substring(F.encode("text", "UTF-8"), 1, bytes_per_row)
-    rows = docs.filter(is_training & F.col("lang").isNotNull() & (F.length("text") > 0))
-    rows = rows.select("lang", piece.alias("piece"), F.xxhash64("doc_id", "text").alias("h"))
+Counts = list[tuple[np.ndarray, np.ndarray]]  # by context length: windows, sorted, and how often each occurs
+
+
+def training_sample(docs: DataFrame, is_training: Column, rows_per_language: int = ROWS_PER_LANGUAGE, order: int = ORDER) -> dict[str, Counts]:
+    """Window counts of at most ``rows_per_language`` rows a language, by hash of doc_id and text."""
+    rows = docs.filter(is_training & F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn("h", F.xxhash64("doc_id", "text"))
+    ranked = rows.select("lang", "h")
     # the least rows of each hash range first, so that no task ranks a whole language
     for part in ([F.pmod("h", F.lit(64))], []):
-        by = Window.partitionBy("lang", *part).orderBy("h", "piece")
-        rows = rows.withColumn("n", F.row_number().over(by)).filter(F.col("n") <= rows_per_language).drop("n")
-    return sorted((r.lang, bytes(r.piece)) for r in rows.collect())
+        by = Window.partitionBy("lang", *part).orderBy("h")
+        ranked = ranked.withColumn("n", F.row_number().over(by)).filter(F.col("n") <= rows_per_language).drop("n")
+    # a language's greatest hash, and how many rows of that hash (repeats of one row) are in the sample
+    last = ranked.groupBy("lang", "h").count().groupBy("lang").agg(F.max(F.struct("h", "count")).alias("last")).collect()
+    if not last:
+        return {}
+    cut, copies = (F.create_map(*[F.lit(x) for r in last for x in (r.lang, r["last"][k])]) for k in range(2))
+    taken = rows.select("lang", "text", "h").filter(F.col("h") <= cut[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"), F.count("*").alias("n"))
+    taken = taken.select("lang", "text", F.when(F.col("h") == cut[F.col("lang")], copies[F.col("lang")]).otherwise(F.col("n")).alias("n"))
+    counted = taken.mapInArrow(_counter(order), "lang string, k int, window long, n long").groupBy("lang", "k", "window").agg(F.sum("n").alias("n")).toArrow()
+    out = {}
+    for r in sorted(last, key=lambda r: r.lang):
+        own = counted.filter(pc.equal(counted["lang"], r.lang))
+        k, windows, n = (own[name].to_numpy() for name in ("k", "window", "n"))
+        windows = windows.view(np.uint64)
+        rank = np.lexsort((windows, k))
+        ends = np.searchsorted(k[rank], np.arange(order + 2))
+        out[r.lang] = [(windows[rank[a:b]], n[rank[a:b]]) for a, b in zip(ends, ends[1:])]
+    return out
+
+
+def _counter(order: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            langs, times = np.array(part.column("lang").to_pylist(), object), part.column("n").to_pylist()
+            texts = part.column("text").to_pylist()
+            for lang in dict.fromkeys(langs):
+                rows = np.flatnonzero(langs == lang)
+                for n in sorted({times[r] for r in rows}):  # rows taken several times apart
+                    for k, (windows, counts) in enumerate(_counted([texts[r].encode() for r in rows if times[r] == n], order)):
+                        columns = [pa.repeat(pa.scalar(lang), len(windows)), pa.repeat(pa.scalar(k, pa.int32()), len(windows)), pa.array(windows.view(np.int64)), pa.array(counts * n)]
+                        yield pa.RecordBatch.from_arrays(columns, ["lang", "k", "window", "n"])
+
+    return run
+
+
+def _counted(texts: list[bytes], order: int, chunk: int = CHUNK) -> Counts:
+    """Window counts of whole texts, lower-cased; about ``chunk`` bytes are held as windows at a time."""
+    out = []
+    for k in range(order + 1):
+        sums = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        held, size = [], 0
+        for text in texts:
+            data = np.frombuffer(text.lower(), np.uint8)
+            for at in range(0, len(data), chunk):
+                held.append(_windows(data[max(0, at - k) : at + chunk], k + 1)[k:])
+                size += len(held[-1])
+                if size >= chunk:
+                    sums, held, size = _added(sums, held), [], 0
+        out.append(_added(sums, held))
+    return out
+
+
+def _added(sums: tuple[np.ndarray, np.ndarray], held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    if not held:
+        return sums
+    more, counts = np.unique(np.concatenate(held), return_counts=True)
+    windows, at = np.unique(np.concatenate([sums[0], more]), return_inverse=True)
+    return windows, np.bincount(at, np.concatenate([sums[1], counts]), len(windows)).astype(np.int64)
 
 
 def _windows(data: np.ndarray, width: int) -> np.ndarray:
@@ -102,19 +162,18 @@ class _Table:
 class PpmModel:
     """Frozen trees of all languages. ``costs`` of a window are in bits, one column a language."""
 
-    def __init__(self, sample: list[tuple[str, bytes]], order: int = ORDER):
-        self.langs = sorted({lang for lang, _ in sample})
+    def __init__(self, sample: dict[str, Counts] | list[tuple[str, bytes]], order: int = ORDER):
+        """``sample``: counts as of ``training_sample``, or texts with their languages."""
+        if not isinstance(sample, dict):
+            sample = {lang: _counted([t for g, t in sample if g == lang], order) for lang in {lang for lang, _ in sample}}
+        self.langs = sorted(sample)
         self.order = order
         self.tables: list[_Table] = []  # by context length: cost of a window seen in any language
         self.escapes: list[_Table] = []  # by context length: cost of leaving a context
-        texts = {lang: [np.frombuffer(t.lower(), np.uint8) for g, t in sample if g == lang and t] for lang in self.langs}
         floor = np.full((256, len(self.langs)), 8.0)
         lower = None
         for k in range(order + 1):
-            counts = []
-            for lang in self.langs:
-                seen = [_windows(t, k + 1)[k:] for t in texts[lang]]
-                counts.append(np.unique(np.concatenate(seen) if seen else np.zeros(0, np.uint64), return_counts=True))
+            counts = [sample[lang][k] for lang in self.langs]
             every = np.unique(np.concatenate([w for w, _ in counts])) if counts else np.zeros(0, np.uint64)
             contexts = np.unique(every >> np.uint64(8))
             escape = np.zeros((len(contexts), len(self.langs)))

@@ -344,6 +344,28 @@ def test_language_id(spark):
     assert {r.lang_pred for r in langid_ppm.identify(rows, empty, held).collect()} == {"und"}
 
 
+def test_language_learned_from_whole_rows(spark):
+    shared = _text(1, 900)
+    rows = [(i, shared + (" zzyx zyzx" if i % 2 else " qkwq kwqk") * 300, "ab"[i % 2]) for i in range(8)]
+    rows += [(5, rows[5][1], "b"), (90, None, "a"), (91, "", "b"), (92, "none", None), (93, "held out", "a")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    assert all(len(t) > 4096 for _, t, _ in rows[:8]) and len(shared) > 4096
+    sample = langid_ppm.training_sample(frame, F.col("doc_id") != 93, order=2)
+    for lang in "ab":
+        whole = [t.encode().lower() for d, t, g in rows if g == lang and t and d != 93]
+        for k in range(3):
+            want = Counter(int.from_bytes(t[i : i + k + 1]) for t in whole for i in range(len(t) - k))
+            assert Counter(dict(zip(*(x.tolist() for x in sample[lang][k])))) == want
+            pieces = langid_ppm._counted(whole, k, chunk=53)[k]
+            assert Counter(dict(zip(*(x.tolist() for x in pieces)))) == want
+    few = langid_ppm.training_sample(frame, F.col("doc_id") != 93, rows_per_language=1)
+    assert all(few[lang][0][1].sum() == len(rows[0][1]) for lang in "ab")
+    model = langid_ppm.PpmModel(langid_ppm.training_sample(frame, F.col("doc_id") != 93))
+    asked = spark.createDataFrame([(1, "zzyx zyzx"), (2, "qkwq kwqk")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in langid_ppm.identify(asked, model, F.lit(True)).collect()} == {1: "b", 2: "a"}
+    assert langid_ppm.training_sample(frame, F.lit(False)) == {}
+
+
 def test_long_text_code_length_is_exact_in_chunks():
     data = np.frombuffer(_text(2, 400).encode(), np.uint8)
     model = langid_ppm.PpmModel([("a", _text(3, 300).encode()), ("b", _text(4, 200).upper().encode())])
