@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
 
 from activitykit.llm import langid_ppm, license_scan, lm_trie, mixing, nearest, packing, quality_llr, simhash, substring_dedup, suffix_dedup
@@ -98,6 +99,37 @@ def test_language_model_matches_brute_force(docs):
         assert r.base_score == pytest.approx(w[3]) and abs(r.score - w[4]) <= 0.017 * r.n_tokens
 
 
+def test_frequent_context_is_cut_over_shards(spark, docs, monkeypatch):
+    """One word at a third of all tokens: the same scores, and no task gets all its successors."""
+    sizes = spark.sparkContext.accumulator([], type("All", (AccumulatorParam,), {"zero": lambda s, v: [], "addInPlace": lambda s, a, b: a + b})())
+
+    def watched(make):
+        def made(*args):
+            run = make(*args)
+
+            def sized(rows):
+                sizes.add([sum(len(x) // 5 for x in rows["follow"])])
+                return run(rows)
+
+            return sized
+
+        return made
+
+    monkeypatch.setattr(lm_trie, "_shard", watched(lm_trie._shard))
+    r = np.random.default_rng(9)
+    texts = [" ".join(f"the w{a} v{b}" for a, b in r.integers(0, 1500, (200, 2))) for _ in range(20)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    held = F.col("doc_id") % 4 == 1
+    score = lambda frame, **k: sorted(map(tuple, lm_trie.score(frame, F.coalesce(held, F.lit(False)), block_tokens=900, **k).collect()), key=str)
+    whole = score(rows)
+    before = max(sizes.value)
+    sizes.value = []
+    assert score(rows, shard_bytes=16 * 200) == whole
+    successors = len({w for t in texts for w in t.split() if w[0] == "w"})
+    assert before > successors and max(sizes.value) < before / 4
+    assert score(docs, shard_bytes=16) == score(docs)
+
+
 def test_elias_fano_round_trip():
     values = np.unique(np.random.default_rng(3).integers(0, 1 << 40, 3000).astype(np.uint64))
     coded = lm_trie.EliasFano(values, 1 << 40)
