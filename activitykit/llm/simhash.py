@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activitykit.llm.common import cut_lineage, mix64, slices, texts_of, words_of
+from activitykit.llm.common import cut_lineage, free_name, mix64, slices, texts_of, words_of
 from activitykit.llm.components import components
 
 SEED = 42
@@ -64,14 +64,16 @@ def _fingerprints(texts: pa.Array, shingle: int) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the signed 64-bit fingerprint of every row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, digest: bool = False) -> DataFrame:
+    """(doc_id, fp): the signed 64-bit fingerprint of every row; with ``digest`` also the text's hash."""
+    more = ["digest"] if digest else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_fingerprints(texts_of(part), shingle))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_fingerprints(texts_of(part), shingle)), *[part.column(c) for c in more]], ["doc_id", "fp", *more])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
+    return rows.select("doc_id", "text", *more).mapInArrow(run, "doc_id long, fp long" + ", digest long" * digest)
 
 
 def _popcounts(fp: np.ndarray) -> np.ndarray:
@@ -190,10 +192,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, cell_rows:
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` with one of each component: its smallest doc_id (one row of it, if repeated).
+    """The rows of ``docs`` with one of each component: its smallest doc_id (null last), then fingerprint, then text hash.
 
-    Rows whose component has no doc_id at all cannot be told apart and are all kept.
+    Rows are told apart by doc_id and text, so a doc_id may name several texts; of rows alike in both one stays.
     """
-    keep = near_duplicates(docs, shingle, bits).filter("component_id = doc_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    prints = cut_lineage(fingerprints(docs, shingle, digest=True))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("first")
+    distinct = cut_lineage(prints.groupBy("fp").agg(first))
+    rooted = distinct.join(components(fingerprint_links(distinct.select("fp"), bits), "fp"), "fp", "left")
+    best = F.min(F.struct("first.unnamed", "first.doc_id", "fp", "first.digest")).alias("best")
+    best = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(best).select("best.*")
+    # null-safe keys as plain columns, so that the join and the aggregate share one shuffle
+    keys = [free_name(c, docs.columns) for c in ("_unnamed", "_id", "_digest")]
+    keep = best.select(F.col("unnamed").alias(keys[0]), F.coalesce("doc_id", F.lit(0)).alias(keys[1]), F.col("digest").alias(keys[2]))
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.withColumns({keys[0]: doc_id.isNull(), keys[1]: F.coalesce(doc_id, F.lit(0)), keys[2]: F.xxhash64("text")})
+    order = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"])
+    row = F.min_by(F.struct(*docs.columns), order).alias("row")
+    return rows.join(keep, keys, "left_semi").groupBy(*keys).agg(row).select("row.*")

@@ -363,6 +363,16 @@ def test_simhash_components_match_brute_force(spark, docs):
     assert simhash.keep_one(every).columns == every.columns
 
 
+def test_keep_one_tells_rows_apart_by_doc_id_and_text(spark):
+    a, b, c, d, e = (_text(60 + i, 80) for i in range(5))
+    rows = [(1, a), (None, a), (None, a), (None, b), (None, b), (5, c), (5, d), (7, e), (7, e), (9, c), (3, None), (None, "")]
+    frame = spark.createDataFrame([(i, t, f"s{k % 2}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, source string")
+    want = Counter([(1, a), (None, b), (5, c), (5, d), (7, e), (3, None)])
+    first = [simhash.keep_one(frame.repartition(n)).collect() for n in (1, 4)]
+    assert all(Counter((r.doc_id, r.text) for r in got) == want for got in first)
+    assert Counter(map(tuple, first[0])) == Counter(map(tuple, first[1]))
+
+
 def test_language_id(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = rows.unionByName(spark.createDataFrame([(90000, None, None, None, 0), (90001, "12 !!", "en", "s", 0), (None, "the and of", None, "s", 0)], rows.schema))
