@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activitykit.llm import langid_ppm, license_scan, lm_trie, mixing, nearest, packing, quality_llr, simhash, substring_dedup, suffix_dedup
+from activitykit.llm import hard_negatives, langid_ppm, license_scan, lm_trie, merkle, mixing, nearest, packing, piece_codec, quality_llr, simhash, substring_dedup, suffix_dedup
 from activitykit.llm.common import crc_mod, documents
 
 
@@ -68,6 +68,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid_ppm.identify(docs, model, held_out)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded; ids and texts as digests."""
+    coded = piece_codec.decoded(piece_codec.encoded(documents(spark, sf_dir).select("doc_id", "text")).drop("text"))
+    spelled = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(spelled, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors: every vec_id divisible by 100, against all other rows; every seventh label is shifted first."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents, verified against the tampered copy."""
+    return merkle.checked(documents(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -80,8 +99,16 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_simhash": op9_simhash,
         "op10_language_id": op10_language_id,
+        "op11_sentencepiece": op11_sentencepiece,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": substring_dedup.CLEAN_SQL, "op4_license_scan": license_scan.scan_sql()}
+    return {
+        "op1_substring_dedup": substring_dedup.CLEAN_SQL,
+        "op4_license_scan": license_scan.scan_sql(),
+        "op12_hard_negatives": hard_negatives.MINE_SQL,
+        "op13_merkle_manifest": merkle.CHECKED_SQL,
+    }
