@@ -1,14 +1,19 @@
-"""Every registered query against its DuckDB oracle (the driver's gate) on sf0.001."""
+"""Every registered query of the engine against its DuckDB oracle (the driver's gate) on sf0.001.
+
+The text queries have tests of their own beside them; not all of them can be stated in SQL."""
 
 import pytest
 from compare import compare
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from activitykit.plans.registry import registry
+from oracle_sql import oracle
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry()) == set(oracle())
+    assert set(registry()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
@@ -17,7 +22,7 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry()))
 def test_query_matches_oracle(spark, name):
     res = compare(spark, SF_SMALL, [name], verbose=False)[name]
     assert "error" not in res, res
