@@ -52,24 +52,69 @@ def _lower(text):
     return text.encode().lower().decode()
 
 
-def test_substring_dedup_keeps_first(docs):
-    got = {(r.doc_id, r.text): r for r in substring_dedup.clean(docs).collect()}
-    seen, by_id = set(), {}
-    for d, t in sorted({x for x in _pairs(docs) if x[0] is not None}):
-        kept = []
-        for line in t.split("\n"):
-            plain = " ".join(_words(line.lower()))
-            if not plain or plain not in seen:
-                kept.append(line)
-            if plain:
-                seen.add(plain)
-        by_id[d] = "\n".join(kept)
-    for (d, text), r in got.items():
-        if d is not None:
-            assert (text or "") == by_id[d]
-            spans = [tuple(map(int, s.split(":"))) for s in r.removed_spans.split(",") if s]
-            assert len(spans) == r.n_removed
-    assert substring_dedup.clean(docs).columns[: len(docs.columns)] == docs.columns
+def _clean_brute(rows, min_words):
+    """(text that stays, units removed, spans) of each (doc_id, text), by ranks over the whole list."""
+    parsed, first = [], {}
+    for d, t in rows:
+        at, found = 0, []
+        for m in re.finditer(r"([^\n]*?)((?<=[.!?,;:])[\x20\x09-\x0d]+|(?<=[。！？；，、：])[\x20\x09-\x0d]*|\n|$)", t or ""):
+            if m.start() < at:
+                continue
+            words, at = _words(_lower(m[1])), m.end()
+            if words:
+                found.append((m.start(1), m.end(1), " ".join(words), len(words)))
+        parsed.append(found)
+        for k, (*_, plain, _n) in enumerate(found):
+            rank = (d is None, d or 0)
+            if plain not in first or rank < first[plain][0]:
+                first[plain] = (rank, set())
+            if rank == first[plain][0]:
+                first[plain][1].add((len(parsed), k))
+    out = []
+    for i, ((d, t), found) in enumerate(zip(rows, parsed), 1):
+        runs, run, own = [], [], set()
+        for a, b, plain, n in found:
+            if (d is None, d or 0) > first[plain][0] or plain in own:
+                run.append((a, b, n))
+            else:
+                own.add(plain)
+                runs, run = [*runs, run], []
+        runs = [r for r in [*runs, run] if r and sum(x[2] for x in r) >= min_words]
+        text = t
+        for r in reversed(runs):
+            text = text[: r[0][0]] + text[r[-1][1] :]
+        out.append((d, t, text, sum(map(len, runs)), ",".join(f"{r[0][0]}:{r[-1][1]}" for r in runs)))
+    return out
+
+
+def _passages():
+    """Rows that share passages which start and end inside lines, stock lines, and rows without doc_id or text."""
+    shared = ", ".join(_text(70 + i, 9) for i in range(8)) + "."
+    rows = [(i, f"own {_text(300 + i, 12)} so {shared[i * 7 :]} and {_text(400 + i, 9)}; end.\nAll rights reserved.\n\nTail {i}! {_text(500 + i, 6)}") for i in range(8)]
+    rows += [(40, shared.upper().replace(" ", "  \t")), (41, f"{shared} {shared}\n{shared}"), (41, shared + " other text"), (None, shared), (None, shared), (None, f"x {shared}")]
+    return rows + [(50, None), (51, ""), (52, " \n\n "), (53, "一。二！三 四。" * 30), (54, "zz 一。二！三 四。" * 30), (55, "word " * 60_000), (56, "w. " * 30_000), (None, None)]
+
+
+@pytest.mark.parametrize("min_words", [1, 25])
+def test_substring_dedup_matches_brute_force(spark, docs, min_words):
+    rows = _passages() + _pairs(docs)
+    frame = spark.createDataFrame([(*r, k, "g") for k, r in enumerate(rows)], "doc_id long, text string, later int, sig string").repartition(4)
+    got = substring_dedup.clean(frame, min_words=min_words)
+    assert got.columns == [*frame.columns, "n_units", "n_removed", "removed_spans"]
+    want = {k: w for k, w in enumerate(_clean_brute(rows, min_words))}
+    for r in got.collect():
+        d, t, text, n, spans = want[r.later]
+        assert (r.doc_id, r.text, r.n_removed, r.removed_spans) == (d, t if t is None else text, n, spans), (r.later, min_words)
+
+
+def test_mid_line_passages_go_and_stock_lines_stay(spark):
+    rows = [(d, t) for d, t in _passages() if d is not None and d < 8]
+    got = {r.doc_id: r for r in substring_dedup.clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].n_removed == 0
+    for d in range(1, 8):
+        assert got[d].n_removed >= 5 and "All rights reserved." in got[d].text and f"Tail {d}!" in got[d].text
+    lines = substring_dedup.clean(spark.createDataFrame(rows, "doc_id long, text string"), unit="line", min_words=1)
+    assert all("All rights reserved." not in r.text for r in lines.collect() if r.doc_id)
 
 
 def test_language_model_matches_brute_force(docs):
@@ -436,8 +481,8 @@ def test_pipeline_stages(spark, docs):
             kept = {r.component_id for r in simhash.near_duplicates(rows).collect()}
             assert {r.doc_id for r in after.collect()} == kept
         if name == "substring dedup":
-            lines = [" ".join(_words(x.lower())) for r in after.collect() for x in (r.text or "").split("\n")]
-            assert max(Counter(x for x in lines if x).values()) == 1
+            want = {(d, text) for d, _, text, _, _ in _clean_brute(_pairs(rows), substring_dedup.MIN_WORDS)}
+            assert {(r.doc_id, r.text or "") for r in after.collect()} == {(d, t or "") for d, t in want}
         rows = after
     assert corpus_pipeline.run(spark, SF).agg(F.sum("length")).first()[0] == packing.pieces(rows).agg(F.sum("length")).first()[0]
 
@@ -458,7 +503,7 @@ def test_clashing_column_names_pass_through(spark):
     from activitykit.llm import mixing, quality_llr, simhash, substring_dedup
 
     names = ["size", "copies", "_copy", "_sig", "_gone", "sig", "removed", "key", "fp", "component_id", "root", "kept", "llr", "target"]
-    rows = [(k, f"line one\nown {k}\n" + "word " * k, "en", f"s{k % 2}", 5, *[f"{n}{k}" for n in names]) for k in range(1, 9)]
+    rows = [(k, f"line one{' of many words' * 10}\nown {k}\n" + "word " * k, "en", f"s{k % 2}", 5, *[f"{n}{k}" for n in names]) for k in range(1, 9)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"{n} string" for n in names))
     given = {r.doc_id: r[5:] for r in docs.collect()}
     stages = [substring_dedup.clean(docs).select(docs.columns), mixing.mixed_documents(docs), simhash.keep_one(docs),
@@ -467,4 +512,4 @@ def test_clashing_column_names_pass_through(spark):
         assert out.columns == docs.columns
         assert all(given[r.doc_id] == r[5:] for r in out.collect())
     kept = {r.doc_id: r.text for r in stages[0].collect()}
-    assert kept[1].startswith("line one") and not kept[2].startswith("line one") and kept[2].startswith("own 2")
+    assert kept[1].startswith("line one") and not kept[2].startswith("line one") and kept[2].startswith("\nown 2")
