@@ -7,25 +7,35 @@ affected weeks only. Every phase appends a run-log record when it starts; any
 error appends FAILED and is re-raised.
 
 Spark jobs, and what they read:
-  1. dead-letter write: the input once, with the input/invalid counts observed;
-  2. user row counts (a partial aggregate on two columns) to find hot users;
-  3. staging write: validate → dedup → sessionize → rebalance by day → parquet,
-     with output, duplicate and session counts observed on the same pass;
-  4. publish: per-day renames (metadata only);
-  5. snapshot: a max-struct aggregate over the just-published days;
-  6. weekly: parameterized SQL over the catalog table (distinct users, distinct
+  1. input counts: one aggregate over the input, which also fills the persisted copy;
+  2. dead-letter write, and its reasons counted from the written files;
+  3. user row counts (a partial aggregate on two columns) to find hot users;
+  4. version write: validate → dedup → sessionize → rebalance by day → parquet, into the
+     run's own version folder, where no reader looks;
+  5. output, duplicate and session counts: an aggregate over two columns of those files;
+  6. repair of later days already published (``plans/repair.py``), if there are any;
+  7. publish: the next manifest (metadata only), see ``sources/versions.py``;
+  8. snapshot: a max-struct aggregate over the run's days;
+  9. weekly: parameterized SQL over the catalog table (distinct users, distinct
      sessions), pruned to the affected weeks' days.
-No count is taken by a separate full pass and nothing data-sized is collected.
+
+Counts are aggregates over an input or over written files, never accumulators on the way to a
+shuffle: tasks that run again after an executor is lost cannot be counted twice.
+
+Resuming. The run log is the journal of a run: a DEDUPLICATING record says that the dead-letter
+files and the input counts it carries are final, a PROMOTING record that the version is whole and
+has passed the gate, and a manifest that names the version that it is published. ``resume=True``
+goes on with a run that did not end in SUCCESS from the first phase without such a record; phases
+that are run again overwrite only what the run itself has written.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activitykit.functions.reasons import is_invalid
@@ -41,9 +51,10 @@ from activitykit.operators.sessionize import (
 from activitykit.operators.snapshot import build_snapshot, reaching, with_idle_users
 from activitykit.operators.validate import filter_kst_range, validate
 from activitykit.operators.weekly import affected_weeks, weekly_sessions_sql, weekly_users_sql, with_all_weeks
-from activitykit.plans.preflight import preflight, run_path
+from activitykit.plans.preflight import PreflightError, preflight, run_path
 from activitykit.plans.quality import evaluate
-from activitykit.plans.run_log import RunLog
+from activitykit.plans.repair import boundary_state, repair_forward
+from activitykit.plans.run_log import RunLog, journal
 from activitykit.runtime import ensure_utc
 from activitykit.schema import (
     ACTIVITY_TABLE,
@@ -61,9 +72,8 @@ from activitykit.schema import (
     WAU_USERS_TABLE,
     WEEKLY_SESSIONS_TABLE,
 )
-from activitykit.sources import catalog, fs
+from activitykit.sources import catalog, fs, versions
 from activitykit.sources.activity_csv import read_activity_csv
-from activitykit.sources.publish import cleanup_path, publish_partitions
 from activitykit.sources.sinks import to_table_layout, write_dlq, write_staging, write_weekly
 from activitykit.sources.snapshot_store import load_snapshot, save_snapshot
 
@@ -86,11 +96,13 @@ class BatchConfig:
     gap_seconds: int = SESSION_GAP_SECONDS
     max_user_rows: int | None = DEFAULT_MAX_USER_ROWS
     persist_input: bool = True
+    resume: bool = False
     extra: dict = field(default_factory=dict)
 
     @property
     def staging_path(self) -> str:
-        return f"{run_path(self.staging_base_path, self.run_id)}/valid"
+        """The run's version of the table: its days are written here once, and published from here."""
+        return versions.version_path(self.output_base_path, self.run_id)
 
     @property
     def dlq_path(self) -> str:
@@ -117,7 +129,8 @@ def _week_list(start_date: str, end_date: str) -> list[str]:
 def run_batch(spark: SparkSession, config: BatchConfig, raw: DataFrame | None = None) -> dict:
     """Runs one batch; returns the final metrics. ``raw`` (S0 rows) replaces the CSV scan."""
     ensure_utc(spark)
-    log = RunLog(spark, config.run_log_base_path, config.run_id, config.start_date)
+    log = RunLog(spark, config.run_log_base_path, config.run_id, config.start_date, append=config.resume)
+    fresh = not fs.exists(spark, log.path)
     base = dict(
         staging_path=config.staging_path,
         dlq_path=config.dlq_path,
@@ -129,9 +142,12 @@ def run_batch(spark: SparkSession, config: BatchConfig, raw: DataFrame | None =
     )
     try:
         preflight(spark, config)
+        done = journal(spark, config.run_log_base_path, config.run_id) if config.resume else {}
         log.log(STATUS_RUNNING, **base)
-        return _run(spark, config, raw, log, base)
+        return _run(spark, config, raw, log, base, done)
     except Exception as exc:
+        if isinstance(exc, PreflightError) and not fresh:
+            raise  # a refused attempt leaves no record in the log of the run that has the id
         try:
             log.log(STATUS_FAILED, message=str(exc), **base)
         except Exception:  # the original error matters more than a failed log write
@@ -139,7 +155,97 @@ def run_batch(spark: SparkSession, config: BatchConfig, raw: DataFrame | None =
         raise
 
 
-def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: RunLog, base: dict) -> dict:
+def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: RunLog, base: dict, done: dict[str, dict]) -> dict:
+    passed = done.get(STATUS_PROMOTING)
+    if passed is None:
+        counts, rows = _write_version(spark, config, raw, log, base, done)
+        gate = evaluate(counts["input_row_count"], counts["output_row_count"], counts["dlq_ratio"], counts["invalid_reason_summary"])
+        counts["quality_gate_warnings"] = gate.warnings
+    else:
+        counts, rows = {k: passed[k] for k in _COUNTS if k in passed}, None
+        counts.setdefault("quality_gate_warnings", [])
+        counts.setdefault("invalid_reason_summary", {})
+    dates = [d for d in versions.version_days(spark, config.output_base_path, config.run_id) if config.start_date <= d <= config.end_date]
+    m = counts | dict(
+        output_partition_count=len(dates),
+        output_partition_start=dates[0] if dates else None,
+        output_partition_end=dates[-1] if dates else None,
+    )
+
+    # Repair the later days, publish all days at once, then snapshot the end date from the run's files.
+    log.log(STATUS_PROMOTING, **{k: m[k] for k in [*_COUNTS, "output_partition_count", "output_partition_start", "output_partition_end"]}, **base)
+    published = versions.current(spark, config.output_base_path)
+    before = _without(spark, config, published)
+    repair = repair_forward(
+        spark, config.output_base_path, before, config.run_id, dates, config.end_date, config.gap_seconds,
+        config.session_state_base_path, config.max_user_rows,
+    )
+    m["repaired_days"] = repair.days
+    versions.publish_version(spark, config.output_base_path, config.run_id, dates + repair.days, rows=None if repair.days else rows)
+    previous = _previous_state(spark, config)
+    mine = versions.read_days(spark, config.output_base_path, {d: config.run_id for d in dates})
+    snapshot = with_idle_users(build_snapshot(mine, config.end_date, config.run_id), previous, config.end_date, config.gap_seconds)
+    m["session_snapshot_path"] = save_snapshot(snapshot, config.session_state_base_path, config.end_date)
+    dates = dates + repair.days
+
+    log.log(
+        STATUS_REGISTERING,
+        unique_session_count=m["unique_session_count"],
+        session_snapshot_path=m["session_snapshot_path"],
+        output_partition_count=m["output_partition_count"],
+        output_partition_start=m["output_partition_start"],
+        output_partition_end=m["output_partition_end"],
+        **base,
+    )
+    catalog.create_activity_table(spark, config.table_name, config.output_base_path)
+    m["registered_hive_partitions_count"] = len(versions.point_table(spark, config.table_name, config.output_base_path, days=dates))
+
+    last_day = max([config.end_date, *repair.days])
+    week_from, week_to = monday_of(config.start_date), monday_of(last_day)
+    message = f"affected_week_start={week_from}; affected_week_end={week_to}"
+    log.log(
+        STATUS_COMPUTING_WAU,
+        unique_session_count=m["unique_session_count"],
+        registered_hive_partitions_count=m["registered_hive_partitions_count"],
+        session_snapshot_path=m["session_snapshot_path"],
+        message=message,
+        **base,
+    )
+    m.update(_weekly(spark, config, last_day, week_from, week_to))
+    m["message"] = message
+    log.log(STATUS_SUCCESS, **base, **{k: v for k, v in m.items() if k in _SUCCESS_FIELDS})
+    return m
+
+
+_COUNTS = [
+    "quality_gate_warnings", "input_row_count", "valid_row_count", "invalid_row_count", "out_of_range_row_count",
+    "output_row_count", "duplicate_group_count", "duplicate_rows_count", "dropped_duplicate_rows_count",
+    "dlq_ratio", "invalid_reason_summary", "unique_session_count",
+]
+
+
+def _previous_state(spark: SparkSession, config: BatchConfig) -> DataFrame | None:
+    """The end states of the day before the range: its saved snapshot, else those of the published days."""
+    saved = load_snapshot(spark, config.session_state_base_path, config.seed_date)
+    if saved is not None:
+        return saved
+    days = {d: e["version"] for d, e in versions.current(spark, config.output_base_path).days.items()}
+    return boundary_state(spark, config.output_base_path, days, config.seed_date, config.gap_seconds, config.run_id)
+
+
+def _without(spark: SparkSession, config: BatchConfig, manifest: versions.Manifest) -> versions.Manifest:
+    """``manifest``, or the newest one that does not name this run's version (a resumed run may have published)."""
+    number = manifest.number
+    while manifest is None or any(e["version"] == config.run_id for e in manifest.days.values()):
+        number -= 1
+        manifest = versions.read_manifest(spark, config.output_base_path, number) if number > 0 else versions.Manifest()
+    return manifest
+
+
+def _write_version(
+    spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: RunLog, base: dict, done: dict[str, dict]
+) -> tuple[dict, dict[str, int]]:
+    """Writes the dead letters and the run's version; returns all counts, and the rows of each day."""
     if raw is None:
         raw = read_activity_csv(spark, config.input_path)
     log.log(STATUS_NORMALIZING, **base)
@@ -147,24 +253,20 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
     if config.persist_input:
         normalized = normalized.persist(StorageLevel.DISK_ONLY)
 
-    # Job 1: dead-letter rows, with input-wide counts observed on the same scan.
     log.log(STATUS_VALIDATING, **base)
-    seen = Observation(f"input-{config.run_id}-{uuid.uuid4().hex[:8]}")
-    observed = normalized.observe(
-        seen,
-        F.count(F.lit(1)).alias("input_row_count"),
-        F.count_if(is_invalid()).alias("invalid_row_count"),
-    )
-    write_dlq(validate(observed, config.start_date).invalid, config.dlq_path)
-    input_counts = seen.get
-    input_rows, invalid_rows = input_counts["input_row_count"], input_counts["invalid_row_count"]
-    dlq_rate = ratio(invalid_rows, input_rows)
-    reasons = {
-        r["reject_reason"]: r["count"]
-        for r in spark.read.parquet(config.dlq_path).groupBy("reject_reason").count().collect()
-    } if invalid_rows else {}
-
-    # Job 2 + 3: dedup and sessionize the in-range valid rows, write staging.
+    known = done.get(STATUS_DEDUPLICATING)
+    if known is None:
+        input_rows, invalid_rows = normalized.agg(F.count(F.lit(1)), F.count_if(is_invalid())).first()
+        write_dlq(validate(normalized, config.start_date).invalid, config.dlq_path)
+        reasons = {
+            r["reject_reason"]: r["count"]
+            for r in spark.read.parquet(config.dlq_path).groupBy("reject_reason").count().collect()
+        } if invalid_rows else {}
+        dlq_rate = ratio(invalid_rows, input_rows)
+    else:
+        input_rows, invalid_rows, dlq_rate = known["input_row_count"], known["invalid_row_count"], known["dlq_ratio"]
+        reasons = known.get("invalid_reason_summary") or {}
+
     in_range = filter_kst_range(validate(normalized, config.start_date).valid, config.start_date, config.end_date)
     log.log(
         STATUS_DEDUPLICATING,
@@ -176,7 +278,7 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
     )
     dedup = deduplicate(in_range, keep_group_size=True).deduplicated
     log.log(STATUS_SESSIONIZING, **base)
-    previous = load_snapshot(spark, config.session_state_base_path, config.seed_date)
+    previous = _previous_state(spark, config)
     seeds = None if previous is None else reaching(previous, config.start_date, config.gap_seconds)
     stats = user_activity_stats(in_range) if config.max_user_rows is not None else None
     sess = sessionize(
@@ -187,83 +289,33 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
         user_stats=stats,
         with_session_opened=True,
     )
+    write_staging(to_table_layout(sess, COUNTED_COLUMNS), config.staging_path)
+    if config.persist_input:
+        normalized.unpersist()
+
     size = F.col("duplicate_group_size")
-    out = Observation(f"output-{config.run_id}-{uuid.uuid4().hex[:8]}")
-    staged = sess.observe(
-        out,
+    days = spark.read.parquet(config.staging_path).groupBy("event_date_kst").agg(
         F.count(F.lit(1)).alias("output_row_count"),
-        F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("valid_row_count"),
+        F.sum(size).cast("long").alias("valid_row_count"),
         F.count_if(size > 1).alias("duplicate_group_count"),
-        F.coalesce(F.sum(F.when(size > 1, size)), F.lit(0)).cast("long").alias("duplicate_rows_count"),
-        F.coalesce(F.sum(size - 1), F.lit(0)).cast("long").alias("dropped_duplicate_rows_count"),
-        F.count_if(F.col("session_opened")).alias("unique_session_count"),
-    )
-    write_staging(to_table_layout(staged), config.staging_path)
-    m = dict(out.get)
-    if config.persist_input:
-        normalized.unpersist()
-    dates = [d.split("=", 1)[1] for d in fs.list_dirs(spark, config.staging_path) if d.startswith("event_date_kst=")]
-    m.update(
+        F.sum(F.when(size > 1, size).otherwise(0)).cast("long").alias("duplicate_rows_count"),
+        F.sum(size - 1).cast("long").alias("dropped_duplicate_rows_count"),
+        F.count_if("session_opened").alias("unique_session_count"),
+    ).collect() if versions.version_days(spark, config.output_base_path, config.run_id) else []  # a row a day
+    names = ["output_row_count", "valid_row_count", "duplicate_group_count", "duplicate_rows_count", "dropped_duplicate_rows_count", "unique_session_count"]
+    counts = {n: sum(r[n] for r in days) for n in names}
+    counts.update(
         input_row_count=input_rows,
         invalid_row_count=invalid_rows,
-        out_of_range_row_count=input_rows - invalid_rows - m["valid_row_count"],
+        out_of_range_row_count=input_rows - invalid_rows - counts["valid_row_count"],
         dlq_ratio=dlq_rate,
         invalid_reason_summary=reasons,
-        output_partition_count=len(dates),
-        output_partition_start=dates[0] if dates else None,
-        output_partition_end=dates[-1] if dates else None,
-    )
-
-    gate = evaluate(input_rows, m["output_row_count"], dlq_rate, reasons)
-    m["quality_gate_warnings"] = gate.warnings
-
-    # Publish the staged days, then snapshot the end date from the published data.
-    log.log(
-        STATUS_PROMOTING,
-        quality_gate_warnings=gate.warnings,
-        output_row_count=m["output_row_count"],
-        unique_session_count=m["unique_session_count"],
-        output_partition_count=m["output_partition_count"],
-        output_partition_start=m["output_partition_start"],
-        output_partition_end=m["output_partition_end"],
-        **base,
-    )
-    published_paths = publish_partitions(spark, config.staging_path, config.output_base_path, dates, move=True)
-    cleanup_path(spark, config.staging_path)
-    # Exactly the days this run published (a written table: no recomputation).
-    published = spark.read.option("basePath", config.output_base_path).parquet(*published_paths)
-    snapshot = with_idle_users(build_snapshot(published, config.end_date, config.run_id), previous, config.end_date, config.gap_seconds)
-    m["session_snapshot_path"] = save_snapshot(snapshot, config.session_state_base_path, config.end_date)
-
-    log.log(
-        STATUS_REGISTERING,
-        unique_session_count=m["unique_session_count"],
-        session_snapshot_path=m["session_snapshot_path"],
-        output_partition_count=m["output_partition_count"],
-        output_partition_start=m["output_partition_start"],
-        output_partition_end=m["output_partition_end"],
-        **base,
-    )
-    catalog.create_activity_table(spark, config.table_name, config.output_base_path)
-    m["registered_hive_partitions_count"] = len(
-        catalog.add_partitions(spark, config.table_name, config.output_base_path, dates)
     )
+    return counts, {str(r["event_date_kst"]): r["output_row_count"] for r in days}
 
-    week_from, week_to = monday_of(config.start_date), monday_of(config.end_date)
-    message = f"affected_week_start={week_from}; affected_week_end={week_to}"
-    log.log(
-        STATUS_COMPUTING_WAU,
-        unique_session_count=m["unique_session_count"],
-        registered_hive_partitions_count=m["registered_hive_partitions_count"],
-        session_snapshot_path=m["session_snapshot_path"],
-        message=message,
-        **base,
-    )
-    m.update(_weekly(spark, config, week_from, week_to))
-    m["message"] = message
-    log.log(STATUS_SUCCESS, **base, **{k: v for k, v in m.items() if k in _SUCCESS_FIELDS})
-    return m
 
+#: Columns beside the table's own that a version's files carry, so that counts can be taken from them.
+COUNTED_COLUMNS = ["duplicate_group_size", "session_opened"]
 
 _SUCCESS_FIELDS = {
     "quality_gate_warnings", "input_row_count", "valid_row_count", "invalid_row_count", "out_of_range_row_count",
@@ -276,11 +328,11 @@ _SUCCESS_FIELDS = {
 }
 
 
-def _weekly(spark: SparkSession, config: BatchConfig, week_from: str, week_to: str) -> dict:
+def _weekly(spark: SparkSession, config: BatchConfig, last_day: str, week_from: str, week_to: str) -> dict:
     """Recomputes only the affected weeks from the catalog table and rewrites only
     their partitions. Every affected week gets a row (0 if it has no activity)."""
-    weeks = affected_weeks(spark, config.start_date, config.end_date)
-    week_values = _week_list(config.start_date, config.end_date)
+    weeks = affected_weeks(spark, config.start_date, last_day)
+    week_values = _week_list(config.start_date, last_day)
     out = {}
     for prefix, result, metric, path, name in [
         ("wau_users", weekly_users_sql(spark, config.table_name, week_from, week_to), "wau_users",

@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activitykit.functions.reasons import is_invalid
-from activitykit.schema import KST_ZONE
+from activitykit.schema import KST_ZONE, STATUS_RUNNING, STATUS_SUCCESS
 from activitykit.sources import fs
+from activitykit.sources.versions import version_path
 
 #: Per-run folders, by the configuration field of their base.
 RUN_FOLDERS = {"staging_base_path": "staging", "dlq_base_path": "dead-letter", "run_log_base_path": "run log"}
@@ -58,11 +59,29 @@ def problems(spark: SparkSession, config, today: dt.date | None = None) -> list[
         found.append("no output_base_path for the published table")
     if config.input_path is not None and not fs.exists(spark, config.input_path):
         found.append(f"no input at {config.input_path}")
-    for base, what in RUN_FOLDERS.items():
-        path = run_path(getattr(config, base), config.run_id)
-        if fs.exists(spark, path):
-            found.append(f"run_id {config.run_id} already has a {what} folder: {path}")
-    return found
+    return found + (_not_resumable(spark, config) if getattr(config, "resume", False) else _already_used(spark, config))
+
+
+def _already_used(spark: SparkSession, config) -> list[str]:
+    paths = {what: run_path(getattr(config, base), config.run_id) for base, what in RUN_FOLDERS.items()}
+    if (config.output_base_path or "").strip():
+        paths["version"] = version_path(config.output_base_path, config.run_id)
+    return [f"run_id {config.run_id} already has a {what} folder: {path}" for what, path in paths.items() if fs.exists(spark, path)]
+
+
+def _not_resumable(spark: SparkSession, config) -> list[str]:
+    """A run goes on only with the range it began with, and only if it has not succeeded."""
+    from activitykit.plans.run_log import journal
+
+    records = journal(spark, config.run_log_base_path, config.run_id)
+    if not records:
+        return [f"run_id {config.run_id} has no run log to resume from"]
+    if STATUS_SUCCESS in records:
+        return [f"run_id {config.run_id} has succeeded"]
+    begun = records.get(STATUS_RUNNING, {})
+    if (begun.get("processing_start_date"), begun.get("processing_end_date")) != (config.start_date, config.end_date):
+        return [f"run_id {config.run_id} was begun for another range"]
+    return []
 
 
 def preflight(spark: SparkSession, config, today: dt.date | None = None) -> None:

@@ -27,13 +27,13 @@ def _now() -> str:
 
 
 class RunLog:
-    def __init__(self, spark: SparkSession, base: str, run_id: str, target_date: str, started_at: str | None = None):
+    def __init__(self, spark: SparkSession, base: str, run_id: str, target_date: str, started_at: str | None = None, append: bool = False):
         self.spark = spark
         self.path = run_path(base, run_id)
         self.run_id = run_id
         self.target_date = target_date
         self.started_at = started_at or _now()
-        self._seq = 0
+        self._seq = max(map(_seq_of, fs.list_files(spark, self.path)), default=0) if append else 0
 
     def log(self, status: str, **fields) -> dict:
         unknown = set(fields) - LOG_FIELDS
@@ -55,6 +55,22 @@ class RunLog:
         return record
 
 
+def _seq_of(name: str) -> int:
+    parts = name.split("-")
+    return int(parts[1]) if len(parts) == 3 and parts[0] == "record" else 0
+
+
+def journal(spark: SparkSession, base: str, run_id: str) -> dict[str, dict]:
+    """status → the fields of its last record, read without a Spark job (a record a phase, a few hundred bytes)."""
+    path = run_path(base, run_id)
+    found: dict[str, dict] = {}
+    for name in sorted(fs.list_files(spark, path), key=_seq_of):
+        if _seq_of(name):
+            record = json.loads(fs.read_text(spark, f"{path}/{name}"))
+            found[record["status"]] = record
+    return found
+
+
 def read_run_log(spark: SparkSession, base: str, run_id: str) -> DataFrame:
     """The run's records in phase order."""
     return spark.read.schema(RUN_LOG_SCHEMA).json(run_path(base, run_id)).orderBy(F.col("seq"))

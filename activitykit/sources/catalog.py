@@ -36,22 +36,30 @@ def add_partitions(
     """Registers each distinct value (sorted) at ``<base>/<column>=<value>``: new
     partitions in one ADD IF NOT EXISTS statement, partitions that already exist
     re-pointed with SET LOCATION. Returns the registered values."""
-    registered = sorted(set(values))
-    if not registered:
-        return registered
-    existing = {
-        r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()
-    }
-    locations = {v: fs.qualified(spark, f"{base.rstrip('/')}/{column}={v}") for v in registered}
-    new = [v for v in registered if v not in existing]
+    return point_partitions(spark, table, {v: f"{base.rstrip('/')}/{column}={v}" for v in values}, column)
+
+
+def point_partitions(spark: SparkSession, table: str, locations: dict[str, str], column: str = "event_date_kst") -> list[str]:
+    """Points each value's partition at its folder: new partitions in one statement, existing ones that
+    lie elsewhere by SET LOCATION (atomic a partition). Returns the values, sorted."""
+    values = sorted(locations)
+    if not values:
+        return values
+    existing = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    paths = {v: fs.qualified(spark, locations[v]) for v in values}
+    new = [v for v in values if v not in existing]
     if new:
-        specs = " ".join(f"PARTITION ({column}='{v}') LOCATION '{locations[v]}'" for v in new)
+        specs = " ".join(f"PARTITION ({column}='{v}') LOCATION '{paths[v]}'" for v in new)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
-    for v in registered:
+    for v in values:
         if v in existing:
-            spark.sql(f"ALTER TABLE {table} PARTITION ({column}='{v}') SET LOCATION '{locations[v]}'")
+            set_location(spark, table, f"{column}='{v}'", paths[v])
     spark.catalog.refreshTable(table)
-    return registered
+    return values
+
+
+def set_location(spark: SparkSession, table: str, partition: str, path: str) -> None:
+    spark.sql(f"ALTER TABLE {table} PARTITION ({partition}) SET LOCATION '{path}'")
 
 
 def add_week_partitions(spark: SparkSession, table: str, base: str, weeks: list[str]) -> list[str]:

@@ -6,6 +6,7 @@ files and object stores alike. No data passes through the driver here.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -76,3 +77,32 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
     if not fs.rename(tmp, p):
         raise OSError(f"rename failed: {tmp} -> {path}")
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small text file that must not exist yet; False if it does (created exclusively where the store can)."""
+    fs, p = _path(spark, path)
+    fs.mkdirs(p.getParent())
+    if fs.exists(p):
+        return False
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError:
+        if fs.exists(p):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small text file (metadata)."""
+    fs, p = _path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from activitykit.schema import ACTIVITY_TABLE_COLUMNS
 
 
-def to_table_layout(sessionized: DataFrame) -> DataFrame:
+def to_table_layout(sessionized: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Projection onto the published table's columns, ``price`` being the decimal price,
-    so every declared column reads back with its declared type."""
-    cols = []
+    so every declared column reads back with its declared type; ``extra`` columns come first."""
+    cols = [F.col(c) for c in extra or []]
     for name, _ in ACTIVITY_TABLE_COLUMNS:
         cols.append(F.col("normalized_price").alias("price") if name == "price" else F.col(name))
     return sessionized.select(*cols)

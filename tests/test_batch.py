@@ -7,6 +7,7 @@ from activitykit.plans.batch import BatchConfig, run_batch
 from activitykit.plans.preflight import PreflightError
 from activitykit.plans.quality import QualityGateError
 from activitykit.plans.run_log import read_run_log
+from activitykit.sources.versions import current, read_current
 
 
 def _cfg(root, run_id, start, end, **kw):
@@ -28,7 +29,7 @@ def _cfg(root, run_id, start, end, **kw):
 
 
 def _published(spark, root):
-    return spark.read.parquet(f"{root}/final")
+    return read_current(spark, f"{root}/final")
 
 
 def _weekly(spark, path, metric):
@@ -87,9 +88,9 @@ def test_failures_are_logged_and_nothing_published(spark, tmp_path):
         run_batch(spark, _cfg(root, "bad-1", "2024-01-01", "2024-01-31"), dirty)
     log = read_run_log(spark, f"{root}/log", "bad-1").collect()
     assert log[-1].status == "FAILED" and "output_row_count" in log[-1].message
-    assert not (tmp_path / "final").exists()
+    assert current(spark, f"{root}/final").days == {}
     # the run id is now used: a second attempt is refused by preflight
-    with pytest.raises(PreflightError, match="already has a staging folder"):
+    with pytest.raises(PreflightError, match="already has a dead-letter folder"):
         run_batch(spark, _cfg(root, "bad-1", "2024-01-01", "2024-01-31"), raw)
 
 
@@ -106,3 +107,79 @@ def test_batch_reads_csv_input(spark, tmp_path):
     assert {k: m[k] for k in keys} == {k: expected[k] for k in keys}
     with pytest.raises(PreflightError, match="no input at"):
         run_batch(spark, _cfg(root, "csv-2", "2024-01-01", "2024-01-31", input_path=f"{root}/missing"))
+
+
+SOME = "event_time < '2024-01-09'"
+STOPS = [("write_dlq", False), ("write_staging", True), ("repair_forward", True), ("save_snapshot", False), ("_weekly", True)]
+
+
+@pytest.fixture(scope="module")
+def whole_run(spark, tmp_path_factory):
+    whole = str(tmp_path_factory.mktemp("whole"))
+    return whole, run_batch(spark, _cfg(whole, "whole-1", "2024-01-01", "2024-01-08"), events_as_activity(spark, SF_SMALL, dirty=True).where(SOME))
+
+
+@pytest.mark.parametrize("step,after", STOPS)
+def test_a_stopped_run_resumes_to_the_same_result(spark, tmp_path, monkeypatch, whole_run, step, after):
+    import dataclasses
+
+    from activitykit.plans import batch
+
+    raw = events_as_activity(spark, SF_SMALL, dirty=True).where(SOME)
+    root, (whole, want) = str(tmp_path), whole_run
+    cfg = _cfg(root, f"stop{step.strip('_')}-1", "2024-01-01", "2024-01-08")
+    act = getattr(batch, step)
+
+    def stop(*args, **kw):
+        if after:
+            act(*args, **kw)
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(batch, step, stop)
+        with pytest.raises(OSError):
+            run_batch(spark, cfg, raw)
+    with pytest.raises(PreflightError, match="already has"):
+        run_batch(spark, cfg, raw)
+    again = dataclasses.replace(cfg, resume=True)
+    with pytest.raises(PreflightError, match="another range"):
+        run_batch(spark, dataclasses.replace(again, end_date="2024-01-09"), raw)
+    got = run_batch(spark, again, raw)
+    counts = [k for k in want if k.endswith("_count") or k in ("dlq_ratio", "invalid_reason_summary", "quality_gate_warnings")]
+    assert {k: got[k] for k in counts} == {k: want[k] for k in counts}
+    cols = ["raw_user_session", "session_id", "price", "event_date_kst"]
+    assert sorted(map(tuple, _published(spark, root).select(*cols).collect())) == sorted(map(tuple, _published(spark, whole).select(*cols).collect()))
+    with pytest.raises(PreflightError, match="has succeeded"):
+        run_batch(spark, again, raw)
+    seqs = [r.seq for r in read_run_log(spark, f"{root}/log", cfg.run_id).collect()]
+    assert seqs == list(range(1, len(seqs) + 1))
+
+
+def test_counts_survive_lost_shuffle_files(spark, tmp_path, monkeypatch, whole_run):
+    """A reduce task finds shuffle files gone, so the map tasks before it run a second time."""
+    import glob
+    import os
+
+    from activitykit.plans import batch
+
+    folders = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    begun, mark = str(tmp_path / "begun"), str(tmp_path / "lost")
+    layout = batch.to_table_layout
+
+    def lose(user):
+        if not os.path.exists(mark):
+            gone = [p for d in folders for p in glob.glob(f"{d}/*/shuffle_*") if os.stat(p).st_mtime >= os.stat(begun).st_mtime]
+            for path in gone:
+                os.remove(path)
+            with open(mark, "w") as f:
+                f.write(str(len(gone)))
+        return True
+
+    monkeypatch.setattr(batch, "to_table_layout", lambda df, extra=None: layout(df.where(F.udf(lose, "boolean")("user_id")), extra))
+    open(begun, "w").close()
+    raw = events_as_activity(spark, SF_SMALL, dirty=True).where(SOME)
+    got = run_batch(spark, _cfg(str(tmp_path / "lossy"), "lossy-1", "2024-01-01", "2024-01-08"), raw)
+    assert int(open(mark).read()) > 0
+    want = whole_run[1]
+    counts = [k for k in want if k.endswith("_count")]
+    assert {k: got[k] for k in counts} == {k: want[k] for k in counts}
