@@ -51,6 +51,7 @@ from activitykit.operators.sessionize import (
 from activitykit.operators.snapshot import build_snapshot, reaching, with_idle_users
 from activitykit.operators.validate import filter_kst_range, validate
 from activitykit.operators.weekly import affected_weeks, weekly_sessions_sql, weekly_users_sql, with_all_weeks
+from activitykit.operators.weekly_state import SESSIONS, USERS, WeeklyState
 from activitykit.plans.preflight import PreflightError, preflight, run_path
 from activitykit.plans.quality import evaluate
 from activitykit.plans.repair import boundary_state, repair_forward
@@ -97,6 +98,8 @@ class BatchConfig:
     max_user_rows: int | None = DEFAULT_MAX_USER_ROWS
     persist_input: bool = True
     resume: bool = False
+    #: Folder of the mergeable weekly state; with it, weeks are merged from day bitmaps instead of recounted from events.
+    weekly_state_base_path: str | None = None
     extra: dict = field(default_factory=dict)
 
     @property
@@ -156,15 +159,14 @@ def run_batch(spark: SparkSession, config: BatchConfig, raw: DataFrame | None =
 
 
 def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: RunLog, base: dict, done: dict[str, dict]) -> dict:
-    passed = done.get(STATUS_PROMOTING)
-    if passed is None:
-        counts, rows = _write_version(spark, config, raw, log, base, done)
-        gate = evaluate(counts["input_row_count"], counts["output_row_count"], counts["dlq_ratio"], counts["invalid_reason_summary"])
-        counts["quality_gate_warnings"] = gate.warnings
+    if STATUS_PROMOTING in done:
+        counts = _input_counts(done[STATUS_DEDUPLICATING])
     else:
-        counts, rows = {k: passed[k] for k in _COUNTS if k in passed}, None
-        counts.setdefault("quality_gate_warnings", [])
-        counts.setdefault("invalid_reason_summary", {})
+        counts = _write_version(spark, config, raw, log, base, done)
+    counts, rows = _version_counts(spark, config, counts)
+    counts["quality_gate_warnings"] = evaluate(
+        counts["input_row_count"], counts["output_row_count"], counts["dlq_ratio"], counts["invalid_reason_summary"]
+    ).warnings
     dates = [d for d in versions.version_days(spark, config.output_base_path, config.run_id) if config.start_date <= d <= config.end_date]
     m = counts | dict(
         output_partition_count=len(dates),
@@ -173,7 +175,16 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
     )
 
     # Repair the later days, publish all days at once, then snapshot the end date from the run's files.
-    log.log(STATUS_PROMOTING, **{k: m[k] for k in [*_COUNTS, "output_partition_count", "output_partition_start", "output_partition_end"]}, **base)
+    log.log(
+        STATUS_PROMOTING,
+        quality_gate_warnings=m["quality_gate_warnings"],
+        output_row_count=m["output_row_count"],
+        unique_session_count=m["unique_session_count"],
+        output_partition_count=m["output_partition_count"],
+        output_partition_start=m["output_partition_start"],
+        output_partition_end=m["output_partition_end"],
+        **base,
+    )
     published = versions.current(spark, config.output_base_path)
     before = _without(spark, config, published)
     repair = repair_forward(
@@ -217,13 +228,6 @@ def _run(spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: R
     return m
 
 
-_COUNTS = [
-    "quality_gate_warnings", "input_row_count", "valid_row_count", "invalid_row_count", "out_of_range_row_count",
-    "output_row_count", "duplicate_group_count", "duplicate_rows_count", "dropped_duplicate_rows_count",
-    "dlq_ratio", "invalid_reason_summary", "unique_session_count",
-]
-
-
 def _previous_state(spark: SparkSession, config: BatchConfig) -> DataFrame | None:
     """The end states of the day before the range: its saved snapshot, else those of the published days."""
     saved = load_snapshot(spark, config.session_state_base_path, config.seed_date)
@@ -244,8 +248,8 @@ def _without(spark: SparkSession, config: BatchConfig, manifest: versions.Manife
 
 def _write_version(
     spark: SparkSession, config: BatchConfig, raw: DataFrame | None, log: RunLog, base: dict, done: dict[str, dict]
-) -> tuple[dict, dict[str, int]]:
-    """Writes the dead letters and the run's version; returns all counts, and the rows of each day."""
+) -> dict:
+    """Writes the dead letters and the run's version; returns the input's counts."""
     if raw is None:
         raw = read_activity_csv(spark, config.input_path)
     log.log(STATUS_NORMALIZING, **base)
@@ -263,19 +267,11 @@ def _write_version(
             for r in spark.read.parquet(config.dlq_path).groupBy("reject_reason").count().collect()
         } if invalid_rows else {}
         dlq_rate = ratio(invalid_rows, input_rows)
-    else:
-        input_rows, invalid_rows, dlq_rate = known["input_row_count"], known["invalid_row_count"], known["dlq_ratio"]
-        reasons = known.get("invalid_reason_summary") or {}
+        known = dict(input_row_count=input_rows, invalid_row_count=invalid_rows, dlq_ratio=dlq_rate, invalid_reason_summary=reasons)
+    known = _input_counts(known)
 
     in_range = filter_kst_range(validate(normalized, config.start_date).valid, config.start_date, config.end_date)
-    log.log(
-        STATUS_DEDUPLICATING,
-        input_row_count=input_rows,
-        invalid_row_count=invalid_rows,
-        dlq_ratio=dlq_rate,
-        invalid_reason_summary=reasons,
-        **base,
-    )
+    log.log(STATUS_DEDUPLICATING, **known, **base)
     dedup = deduplicate(in_range, keep_group_size=True).deduplicated
     log.log(STATUS_SESSIONIZING, **base)
     previous = _previous_state(spark, config)
@@ -292,26 +288,30 @@ def _write_version(
     write_staging(to_table_layout(sess, COUNTED_COLUMNS), config.staging_path)
     if config.persist_input:
         normalized.unpersist()
+    return known
+
 
+def _input_counts(record: dict) -> dict:
+    names = ("input_row_count", "invalid_row_count", "dlq_ratio", "invalid_reason_summary")
+    return {n: record.get(n) for n in names} | {"invalid_reason_summary": record.get("invalid_reason_summary") or {}}
+
+
+def _version_counts(spark: SparkSession, config: BatchConfig, counts: dict) -> tuple[dict, dict[str, int]]:
+    """``counts`` with those of the run's written days, and the rows of each day."""
     size = F.col("duplicate_group_size")
-    days = spark.read.parquet(config.staging_path).groupBy("event_date_kst").agg(
+    held = [d for d in versions.version_days(spark, config.output_base_path, config.run_id) if config.start_date <= d <= config.end_date]
+    days = versions.read_days(spark, config.output_base_path, {d: config.run_id for d in held}).groupBy("event_date_kst").agg(
         F.count(F.lit(1)).alias("output_row_count"),
         F.sum(size).cast("long").alias("valid_row_count"),
         F.count_if(size > 1).alias("duplicate_group_count"),
         F.sum(F.when(size > 1, size).otherwise(0)).cast("long").alias("duplicate_rows_count"),
         F.sum(size - 1).cast("long").alias("dropped_duplicate_rows_count"),
         F.count_if("session_opened").alias("unique_session_count"),
-    ).collect() if versions.version_days(spark, config.output_base_path, config.run_id) else []  # a row a day
+    ).collect() if held else []  # a row a day
     names = ["output_row_count", "valid_row_count", "duplicate_group_count", "duplicate_rows_count", "dropped_duplicate_rows_count", "unique_session_count"]
-    counts = {n: sum(r[n] for r in days) for n in names}
-    counts.update(
-        input_row_count=input_rows,
-        invalid_row_count=invalid_rows,
-        out_of_range_row_count=input_rows - invalid_rows - counts["valid_row_count"],
-        dlq_ratio=dlq_rate,
-        invalid_reason_summary=reasons,
-    )
-    return counts, {str(r["event_date_kst"]): r["output_row_count"] for r in days}
+    found = counts | {n: sum(r[n] for r in days) for n in names}
+    found["out_of_range_row_count"] = found["input_row_count"] - found["invalid_row_count"] - found["valid_row_count"]
+    return found, {str(r["event_date_kst"]): r["output_row_count"] for r in days}
 
 
 #: Columns beside the table's own that a version's files carry, so that counts can be taken from them.
@@ -334,12 +334,15 @@ def _weekly(spark: SparkSession, config: BatchConfig, last_day: str, week_from:
     weeks = affected_weeks(spark, config.start_date, last_day)
     week_values = _week_list(config.start_date, last_day)
     out = {}
-    for prefix, result, metric, path, name in [
-        ("wau_users", weekly_users_sql(spark, config.table_name, week_from, week_to), "wau_users",
-         config.wau_users_path, config.wau_users_table),
-        ("weekly_active_sessions", weekly_sessions_sql(spark, config.table_name, week_from, week_to),
-         "weekly_active_sessions", config.weekly_sessions_path, config.weekly_sessions_table),
+    for prefix, recount, merged, metric, path, name in [
+        ("wau_users", weekly_users_sql, USERS, "wau_users", config.wau_users_path, config.wau_users_table),
+        ("weekly_active_sessions", weekly_sessions_sql, SESSIONS, "weekly_active_sessions",
+         config.weekly_sessions_path, config.weekly_sessions_table),
     ]:
+        if config.weekly_state_base_path:
+            result = _merged_weeks(spark, config, merged, week_from, week_to)
+        else:
+            result = recount(spark, config.table_name, week_from, week_to)
         write_weekly(with_all_weeks(result, weeks, metric), path)
         catalog.create_weekly_table(spark, name, metric, path)
         catalog.add_week_partitions(spark, name, path, week_values)
@@ -356,3 +359,15 @@ def _weekly(spark: SparkSession, config: BatchConfig, last_day: str, week_from:
         out[f"{prefix}_start_week"] = rows["lo"].isoformat() if rows["lo"] else None
         out[f"{prefix}_end_week"] = rows["hi"].isoformat() if rows["hi"] else None
     return out
+
+
+def _merged_weeks(spark: SparkSession, config: BatchConfig, metric: tuple[str, str, str], week_from: str, week_to: str) -> DataFrame:
+    """The weeks' counts from the mergeable state, after this run's days (and days it lacks) are put into it."""
+    state = WeeklyState(spark, config.weekly_state_base_path, metric)
+    manifest = versions.current(spark, config.output_base_path)
+    last = (dt.date.fromisoformat(week_to) + dt.timedelta(days=6)).isoformat()
+    held = set(state.days())
+    days = [d for d, e in manifest.days.items() if e["version"] == config.run_id or (week_from <= d <= last and d not in held)]
+    if days:
+        state.update(versions.read_current(spark, config.output_base_path, days, manifest), days)
+    return state.counts(week_from, week_to)

@@ -400,6 +400,71 @@ def q_catalog_roundtrip(spark, sf_dir):
     return comparable(weekly_users(catalog.read_table(spark, name)))
 
 
+def q_versioned_publish(spark, sf_dir):
+    """Three versions of the table: all days without their rows' prices, then the days of each half whole; read by
+    the last manifest on one half and by the re-pointed catalog table on the other."""
+    import uuid
+
+    from activitykit.runtime import scratch_path
+    from activitykit.sources import catalog, versions
+    from activitykit.sources.sinks import to_table_layout, write_staging
+
+    base, name = scratch_path(spark, "versions"), f"activity_events_{uuid.uuid4().hex[:12]}"
+    write_staging(to_table_layout(sessionized(spark, sf_dir)), f"{base}-all")
+    rows = spark.read.parquet(f"{base}-all")
+    early = F.col("event_date_kst") <= F.lit(FIRST_BATCH_END).cast("date")
+    catalog.create_activity_table(spark, name, base)
+    for version, part in [("bare", rows.withColumn("price", F.lit(None).cast("decimal(18,2)"))), ("early", rows.where(early)), ("late", rows.where(~early))]:
+        write_staging(part, versions.version_path(base, version))
+        versions.publish_version(spark, base, version, table=name)
+    return _table_rows(versions.read_current(spark, base).where(early).unionByName(catalog.read_table(spark, name).where(~early)))
+
+
+def q_forward_repair(spark, sf_dir):
+    """Two runs, the first without every third event; then the first range again with all. The later days follow."""
+    from activitykit.plans.batch import run_batch
+    from activitykit.runtime import scratch_path
+    from activitykit.sources.versions import read_current
+
+    root = scratch_path(spark, "repair")
+    raw = events_as_activity(spark, sf_dir, dirty=True)
+    first, second = _run_ranges(spark, sf_dir)
+    in_first = F.col("event_time") < f"{FIRST_BATCH_END} 15:00:00"  # midnight KST, in UTC
+    some = raw.where(~F.coalesce(in_first & (F.pmod(F.xxhash64("user_session"), F.lit(3)) == 0), F.lit(False)))
+    run_batch(spark, _batch_config(root, "part", *first), some)
+    run_batch(spark, _batch_config(root, "rest", *second), some)
+    run_batch(spark, _batch_config(root, "late", *first), raw)
+    return _table_rows(read_current(spark, f"{root}/final"))
+
+
+def _merged_weekly(spark, sf_dir, metric, name):
+    """Day bitmaps extended by two ranges of days, the first once more; weeks merged from bitmaps."""
+    from activitykit.operators.weekly_state import WeeklyState
+    from activitykit.runtime import scratch_path
+    from activitykit.sources.sinks import to_table_layout, write_staging
+
+    root = scratch_path(spark, name)
+    write_staging(to_table_layout(sessionized(spark, sf_dir)), f"{root}/table")
+    table = spark.read.parquet(f"{root}/table")
+    state = WeeklyState(spark, f"{root}/state", metric)
+    first, second = _run_ranges(spark, sf_dir)
+    for lo, hi in (first, second, first):
+        state.update(filter_kst_range(table, lo, hi), [])
+    return comparable(state.counts())
+
+
+def q_wau_users_bitmaps(spark, sf_dir):
+    from activitykit.operators.weekly_state import USERS
+
+    return _merged_weekly(spark, sf_dir, USERS, "user-bitmaps")
+
+
+def q_weekly_active_sessions_bitmaps(spark, sf_dir):
+    from activitykit.operators.weekly_state import SESSIONS
+
+    return _merged_weekly(spark, sf_dir, SESSIONS, "session-bitmaps")
+
+
 def _run_ranges(spark, sf_dir) -> list[tuple[str, str]]:
     """Two runs that cover all days of the table (its first and last day are one aggregate row)."""
     day = F.to_date(to_kst(F.col("ts").cast("timestamp")))
@@ -614,4 +679,8 @@ WRITING_QUERIES = {
     "batch_run_metrics": q_batch_run_metrics,
     "duplicate_groups_export": q_duplicate_groups_export,
     "snapshot_export": q_snapshot_export,
+    "versioned_publish": q_versioned_publish,
+    "forward_repair": q_forward_repair,
+    "wau_users_bitmaps": q_wau_users_bitmaps,
+    "weekly_active_sessions_bitmaps": q_weekly_active_sessions_bitmaps,
 }

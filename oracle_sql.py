@@ -361,6 +361,10 @@ FROM m"""
     ])
     q["publish_roundtrip"] = p + f"\nSELECT {table_rows} FROM sess"
     q["catalog_roundtrip"] = q["wau_users"]
+    q["versioned_publish"] = q["publish_roundtrip"]
+    q["forward_repair"] = pipeline(SEEDED_GAP_SECONDS) + f"\nSELECT {table_rows} FROM sess"
+    q["wau_users_bitmaps"] = q["wau_users"]
+    q["weekly_active_sessions_bitmaps"] = q["weekly_active_sessions"]
     q["incremental_weekly_overwrite"] = _weekly_sessions(gap=SEEDED_GAP_SECONDS)
     q["batch_weekly_sessions"] = q["incremental_weekly_overwrite"]
     q["weekly_table_roundtrip"] = q["weekly_active_sessions"]
