@@ -12,7 +12,7 @@ from activitykit.llm.common import crc_mod, documents
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line dedup of all documents: counts, removed offsets and the text that stays."""
+    """Clause dedup of all documents: counts, removed offsets and the text that stays."""
     return substring_dedup.clean(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_units", "n_removed", "removed_spans", "text")
 
 
@@ -22,10 +22,14 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All copies of repeated 400-byte strings go, the first too."""
+    """All copies of repeated 400-byte strings go, the first too. ``text``: what stays, a character cut in two shown as U+FFFD."""
     found = suffix_dedup.clean(documents(spark, sf_dir), keep_first=False)
     n_removed = (F.col("n_bytes") - F.length("kept")).cast("long")
-    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        spans.alias("removed_spans"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+    )
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

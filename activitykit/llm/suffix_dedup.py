@@ -121,15 +121,17 @@ def ranges(docs: DataFrame, least: int = MIN_BYTES, gram: int = GRAM) -> DataFra
         powers = _powers(2 * SLICE_BYTES)
         for part in slices(batches):
             raw, starts = _joined(part.column("text").to_pylist())
-            if len(raw) > len(powers[0]):
-                powers = _powers(len(raw))
-            text, lo, hi, own, anchor = anchored_ranges(np.frombuffer(raw, np.uint8), starts, powers, least, gram)
-            seg = [xxhash.xxh3_64_intdigest(raw[a : b + least], o - a) for a, b, o in zip(lo.tolist(), hi.tolist(), own.tolist())]
-            base = starts[text]
-            places = [pa.array(x - base) for x in (lo, hi, own)]
-            digests = [pa.array(x.view(np.int64)) for x in (anchor, np.array(seg, np.uint64))]
-            at = pa.array(text)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(at), part.column("sig").take(at), *places, *digests], ["doc_id", "sig", "lo", "hi", "own", "anchor", "seg"])
+            for first in range(0, max(1, len(raw) - least + 1), SLICE_BYTES) if part.num_rows == 1 else (0,):
+                # the windows that start in one slice of a long text; several texts fit one slice
+                piece = raw[first : first + SLICE_BYTES + least - 1] if part.num_rows == 1 else raw
+                bounds = np.array([0, len(piece)]) if part.num_rows == 1 else starts
+                text, lo, hi, own, anchor = anchored_ranges(np.frombuffer(piece, np.uint8), bounds, powers, least, gram)
+                seg = [xxhash.xxh3_64_intdigest(piece[a : b + least], o - a) for a, b, o in zip(lo.tolist(), hi.tolist(), own.tolist())]
+                base = bounds[text] - first
+                places = [pa.array(x - base) for x in (lo, hi, own)]
+                digests = [pa.array(x.view(np.int64)) for x in (anchor, np.array(seg, np.uint64))]
+                at = pa.array(text)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(at), part.column("sig").take(at), *places, *digests], ["doc_id", "sig", "lo", "hi", "own", "anchor", "seg"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return _signed(docs).filter(F.length("text") * 4 >= least).mapInArrow(run, f"doc_id {kind}, sig long, lo long, hi long, own long, anchor long, seg long")
@@ -150,18 +152,34 @@ def _place(prefix: str = "") -> list:
 
 
 def _with_bytes(found: DataFrame, docs: DataFrame, least: int) -> DataFrame:
-    """``found`` (doc_id, sig, lo, hi, ...) plus the bytes lo..hi+least of that text."""
-    names = found.columns
+    """``found`` (doc_id, sig, lo, hi, ...) plus the bytes lo..hi+least of that text.
+
+    A text's ranges are gathered into one array, so the text is met once, not once a range; they are
+    handed on ``SLICE_BYTES`` at a time.
+    """
+    held_names = found.columns
+    names = [c for c in held_names if c not in ("doc_id", "sig")]
+    marks = found.groupBy(F.col("doc_id").alias("_id"), F.col("sig").alias("_sig")).agg(F.collect_list(F.struct(*names)).alias("_ranges"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            data = [t.encode()[a : b + least] for t, a, b in zip(*(part.column(c).to_pylist() for c in ("text", "lo", "hi")))]
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(data, pa.binary())], [*names, "data"])
-
-    texts = _signed(docs).withColumnsRenamed({"doc_id": "_id", "sig": "_sig"})
-    both = found.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sig") == F.col("_sig")))
+            for row, text in enumerate(part.column("text").to_pylist()):
+                raw = text.encode()
+                every = pa.RecordBatch.from_struct_array(part.column("_ranges").slice(row, 1).flatten())
+                lows, highs = every.column("lo").to_numpy(), every.column("hi").to_numpy() + least
+                ends, first = np.cumsum(highs - lows), 0
+                while first < len(ends):
+                    last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + SLICE_BYTES, side="right")))
+                    data = [raw[a:b] for a, b in zip(lows[first:last].tolist(), highs[first:last].tolist())]
+                    own = pa.array(np.full(last - first, row))
+                    held = every.slice(first, last - first)
+                    columns = {c: held.column(c) for c in names} | {c: part.column(c).take(own) for c in ("doc_id", "sig")}
+                    yield pa.RecordBatch.from_arrays([*(columns[c] for c in held_names), pa.array(data, pa.binary())], [*held_names, "data"])
+                    first = last
+
+    both = _signed(docs).join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sig") == F.col("_sig")))
     schema = found.schema.simpleString()[7:-1] + ",data:binary"
-    return both.select(*names, "text").mapInArrow(run, schema)
+    return both.select("doc_id", "sig", "text", "_ranges").mapInArrow(run, schema)
 
 
 def suffix_ranks(data: np.ndarray, least: int) -> np.ndarray:
