@@ -4,19 +4,22 @@ Targets. Sources, ordered by code point with null last, weigh 3, 1, 2 and again;
 share ``budget`` times all words. A target stops at ``cap`` times its source's words and the
 excess is shared again by weight: a water level over the sources sorted by cap / weight.
 
-Balancing. Each document may be taken 0..cap times. Of all document rates that meet a source's
-token constraint the one nearest (in entropy, each token one unit of the base measure) to the
-neutral base is the exponential tilt ``cap * exp(l) / (1 + exp(l))``, l being the source's
-multiplier. The dual ``S * cap * log(1 + exp(l)) - l * T`` is convex in l; Newton steps
-``l + (T / (cap * S) - p) / (p * (1 - p))`` run for all sources at once, each row of the source
-table folding over its own iterations, so no driver loop and no collect is needed. Because tokens
-are the units, long and short documents of a source get one rate: the mix keeps its lengths.
-
-Rounding. A rate r becomes floor(r) copies of every document and one more for the documents that
-come first in hash order (MD5 of doc_id), up to the point where their words come nearest to the
-fraction still due. The point is found by two levels of 256 hash ranges and then inside one range
-of 1/65536 of a source, so no task meets a whole source. Two passes then flip the one document
-whose size best cancels the source's remaining error.
+Balancing. Each document may be taken 0..cap times; with no constraint each would be taken ``budget``
+times. Of all document rates that meet a source's token constraint the ones nearest to that, in
+entropy, are the exponential tilt ``cap * p``, ``p = 1 / (1 + exp(-(a + l * z)))``: a is the logit of
+budget / cap, z the document's size over the mean size of its source, l the source's multiplier. So
+a source that must give less gives up its long documents first, one that must give more takes them
+more often, and the rate is a document's own. The dual ``sum(cap * log(1 + exp(a + l * z))) - l *
+target / mean`` is convex in l. Newton steps run for all sources at once; a step sums gradient and
+Hessian over the documents (gathered into counts of equal sizes first, which are the same sums),
+and one that leaves the bracket of the gradient's signs is halved into it. Steps end when every
+source is within ``TOLERANCE`` of its target, a check of one number.
+
+Rounding. A rate r becomes floor(r) copies of its document, and one more for those with the least
+``u - (r - floor(r))``, u being a hash of doc_id in [0, 1), up to the point where their words come
+nearest to what is still due. The point is found by two levels of 256 ranges and then inside one
+range of 1/65536, so no task meets a whole source. Two passes then flip the one document whose
+size best cancels the source's remaining error.
 
 Edge cases: a null source is a source; null or empty texts have size 0 and are taken 0 words;
 repeated rows share a hash and are rounded alike; rows with a null doc_id hash as the empty text
@@ -34,7 +37,9 @@ from activitykit.llm.common import cut_lineage
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 CAP = 2
-NEWTON_STEPS = 64
+NEWTON_STEPS = 96
+STEPS_A_JOB = 4
+TOLERANCE = 1e-9
 FLIPS = 2
 
 
@@ -65,26 +70,66 @@ def source_targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget:
     return levels.select("source", "source_size", target.alias("target"))
 
 
-def _newton(share: Column, steps: int) -> Column:
-    """The multiplier l with exp(l) / (1 + exp(l)) = share, for 0 < share < 1."""
-
-    def step(l: Column, _: Column) -> Column:
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-l))
-        return l + (share - p) / (p * (F.lit(1.0) - p))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0), step)
-
-
-def balanced_rates(targets: DataFrame, cap: int = CAP, steps: int = NEWTON_STEPS) -> DataFrame:
-    """``targets`` with the document rate of each source."""
-    share = F.col("target") / (F.col("source_size") * F.lit(float(cap)))
-    edge = F.col("source_size") == 0
-    rate = F.lit(float(cap)) / (F.lit(1.0) + F.exp(-_newton(F.col("_share"), steps)))
-    return (
-        targets.withColumn("_share", F.when(edge, F.lit(0.0)).otherwise(share))
-        .withColumn("rate", F.when(F.col("_share") <= 1e-9, F.lit(0.0)).when(F.col("_share") >= 1 - 1e-9, F.lit(float(cap))).otherwise(rate))
-        .drop("_share")
-    )
+def _tilted(z: Column, multiplier: Column, budget: float, cap: int) -> Column:
+    """The share p of the cap that a document of relative size ``z`` gets."""
+    share = min(max(budget / cap, 1e-6), 1 - 1e-6)
+    return F.lit(1.0) / (F.lit(1.0) + F.lit((1 - share) / share) * F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), -multiplier * z))))
+
+
+def _newton_step(sizes: DataFrame, plan: DataFrame, budget: float, cap: int) -> DataFrame:
+    """``plan`` (source, source_size, target, mean, l, low, high, gap) after one damped step of every source."""
+    names = ["source", "source_size", "target", "mean", "l", "low", "high"]
+    met = sizes.alias("d").join(plan.alias("p"), _same_source("d", "p"))
+    p = _tilted(F.col("d.z"), F.col("p.l"), budget, cap)
+    n, z = F.col("d.n") * F.lit(float(cap)), F.col("d.z")
+    sums = met.groupBy(*[F.col(f"p.{c}").alias(c) for c in names]).agg(F.sum(n * z * p).alias("_taken"), F.sum(n * z * z * p * (F.lit(1.0) - p)).alias("_hessian"))
+    gradient = F.col("_taken") - F.col("target") / F.col("mean")
+    low = F.when(gradient < 0, F.col("l")).otherwise(F.col("low"))
+    high = F.when(gradient > 0, F.col("l")).otherwise(F.col("high"))
+    sums = sums.withColumns({"_gradient": gradient, "low": low, "high": high})
+    step = F.col("l") - F.col("_gradient") / F.greatest(F.col("_hessian"), F.lit(1e-300))
+    wide = F.when(F.col("_gradient") > 0, F.col("l") - F.lit(1.0) - F.abs("l")).otherwise(F.col("l") + F.lit(1.0) + F.abs("l"))
+    halved = F.when(F.col("low").isNull() | F.col("high").isNull(), wide).otherwise((F.col("low") + F.col("high")) / 2)
+    inside = (step > F.coalesce("low", F.col("l") - F.lit(1.0) - F.abs("l"))) & (step < F.coalesce("high", F.col("l") + F.lit(1.0) + F.abs("l")))
+    gap = F.abs(F.col("_gradient")) * F.col("mean") / F.col("source_size")
+    moved = F.when(gap <= TOLERANCE, F.col("l")).when(inside, step).otherwise(halved)
+    return sums.select("source", "source_size", "target", "mean", moved.alias("l"), "low", "high", gap.alias("gap"))
+
+
+def balanced(rows: DataFrame, targets: DataFrame, budget: float = BUDGET, cap: int = CAP, steps: int = NEWTON_STEPS) -> DataFrame:
+    """``targets`` with ``mean`` and the multiplier ``l`` of each source; null where all of it is taken ``cap`` times, or none."""
+    sizes = rows.filter("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+    table = sizes.groupBy("source").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"))
+    share = F.try_divide(F.col("t.target"), F.col("t.source_size") * F.lit(float(cap)))
+    free = (share > 1e-9) & (share < 1 - 1e-9)
+    every = targets.alias("t").join(table.alias("m"), _same_source("t", "m"), "left").select("t.*", "m.mean", F.coalesce(free, F.lit(False)).alias("free"))
+    every = cut_lineage(every)
+    nothing = F.lit(None).cast("double")
+    plan = every.filter("free").select("source", "source_size", "target", "mean", F.lit(0.0).alias("l"), nothing.alias("low"), nothing.alias("high"), nothing.alias("gap"))
+    sizes = cut_lineage(sizes.alias("d").join(table.alias("m"), _same_source("d", "m")).select("d.source", "d.n", (F.col("d.size") / F.col("m.mean")).alias("z")))
+    for _ in range(0, steps, STEPS_A_JOB):
+        for _ in range(STEPS_A_JOB):
+            plan = _newton_step(sizes, plan, budget, cap)
+        plan = cut_lineage(plan)
+        if (plan.agg(F.max("gap")).first()[0] or 0.0) <= TOLERANCE:
+            break
+    # rounded, so that the order of a sum cannot show in the rates
+    solved = plan.select("source", F.round("l", 9).alias("l"))
+    return every.alias("t").join(solved.alias("p"), _same_source("t", "p"), "left").select("t.source", "t.source_size", "t.target", "t.mean", "p.l")
+
+
+def rated(rows: DataFrame, multipliers: DataFrame, budget: float = BUDGET, cap: int = CAP) -> DataFrame:
+    """``rows`` with their ``rate``, ``base`` (its whole copies) and a ``key`` that orders them for the one more."""
+    met = rows.alias("r").join(multipliers.alias("p"), _same_source("r", "p"))
+    tilt = _tilted(F.col("r.size") / F.col("p.mean"), F.col("p.l"), budget, cap) * F.lit(float(cap))
+    edge = F.when(F.coalesce(F.col("p.target"), F.lit(0.0)) > 0, F.lit(float(cap))).otherwise(F.lit(0.0))
+    rate = F.when(F.col("p.l").isNull(), edge).otherwise(tilt)
+    out = met.select("r.doc_id", "r.source", "r.size", F.col("r.key").alias("_hash"), rate.alias("rate"))
+    out = out.withColumn("base", F.floor(F.col("rate") + F.lit(1e-9)))
+    u = F.conv(F.substring("_hash", 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
+    late = (u - (F.col("rate") - F.col("base")) + F.lit(1.0)) / F.lit(2.0)
+    place = F.lpad(F.hex(F.floor(F.greatest(F.lit(0.0), F.least(late, F.lit(1.0))) * F.lit(float((1 << 48) - 1))).cast("long")), 12, "0")
+    return out.select("doc_id", "source", "size", "rate", "base", F.concat(F.lower(place), F.col("_hash")).alias("key"))
 
 
 def _same_source(left: str, right: str) -> Column:
@@ -123,13 +168,13 @@ def _thresholds(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return (
         plan.alias("p")
         .join(taken.alias("t"), _same_source("p", "t"), "left")
-        .select("p.source", "p.source_size", "p.target", "p.rate", "p.base", F.coalesce("t.key_in", F.concat("p.b1", "p.b2")).alias("upto"))
+        .select("p.source", "p.source_size", "p.target", F.coalesce("t.key_in", F.concat("p.b1", "p.b2")).alias("upto"))
     )
 
 
 def _counted(rows: DataFrame, plan: DataFrame, cap: int) -> DataFrame:
     extra = F.coalesce((F.col("key") <= F.col("upto")).cast("long"), F.lit(0))
-    copies = F.least(F.col("base") + F.when(F.col("rate") > F.col("base"), extra).otherwise(F.lit(0)), F.lit(cap).cast("long"))
+    copies = F.least(F.col("base") + extra, F.lit(cap).cast("long"))
     joined = rows.alias("r").join(plan.alias("p"), _same_source("r", "p"))
     return joined.select("r.doc_id", "r.source", "r.size", "r.key", "p.source_size", "p.target", copies.alias("copies"))
 
@@ -151,9 +196,12 @@ def _flip(counted: DataFrame, cap: int) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, cap: int = CAP) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies) of every row; ``copies`` is 0..cap."""
     rows = sized(docs)
-    plan = balanced_rates(source_targets(rows, weights, budget, cap), cap)
-    base = F.floor(F.col("rate") + F.lit(1e-12))
-    plan = cut_lineage(plan.withColumn("base", base).withColumn("due", F.greatest(F.col("target") - F.col("base") * F.col("source_size"), F.lit(0.0))))
+    targets = cut_lineage(source_targets(rows, weights, budget, cap))
+    rows = cut_lineage(rated(rows, balanced(rows, targets, budget, cap), budget, cap))
+    whole = rows.groupBy("source").agg(F.sum(F.col("base") * F.col("size")).alias("words"))
+    due = F.greatest(F.col("p.target") - F.coalesce("w.words", F.lit(0)), F.lit(0.0))
+    plan = targets.alias("p").join(whole.alias("w"), _same_source("p", "w"), "left").select("p.*", due.alias("due"))
+    plan = cut_lineage(plan)
     counted = _counted(rows, cut_lineage(_thresholds(rows, plan)), cap)
     for _ in range(FLIPS):
         counted = cut_lineage(_flip(counted, cap))
