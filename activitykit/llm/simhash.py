@@ -12,7 +12,9 @@ distance is tested first, then the exact Hamming distance.
 
 Only distinct fingerprints enter a cell, so copies cost nothing. A cell with more than
 ``cell_rows`` fingerprints is dealt out again on finer axes (same pigeonhole, on the coordinates
-left open) before any task reads it. A task emits a spanning forest of each cell's links, never
+left open) before any task reads it; cells that stay crowded, as where thousands of fingerprints
+share one popcount vector, are dealt on by runs of their raw bits (same pigeonhole on bits, until
+the open bits cannot fill a cell). A task emits a spanning forest of each cell's links, never
 all pairs; the forests are joined into components by star contractions.
 
 Edge cases: null or empty texts have fingerprint zero and link like any other; rows with a null
@@ -123,6 +125,27 @@ def _deal_finer(cells: DataFrame, bits: int) -> DataFrame:
     return cells.mapInPandas(run, "cell long, fp long")
 
 
+def _deal_raw(cells: DataFrame, bits: int) -> DataFrame:
+    """The rows of cells that popcounts cannot split, dealt by runs of the raw bits their cell leaves open (``mask``).
+
+    The open bits are cut into ``bits + 1`` runs; two fingerprints of a cell that differ in ``bits`` bits
+    or fewer agree in one run whole, and meet in its cell, which leaves the other runs open.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for mask, rows in batch.groupby("mask"):
+                open_bits = [b for b in range(64) if int(mask) >> b & 1]
+                fp, outer = rows["fp"].to_numpy(np.int64), rows["cell"].to_numpy(np.int64).view(np.uint64)
+                for k, part in enumerate(np.array_split(np.array(open_bits, np.uint64), bits + 1)):
+                    taken = np.uint64(sum(1 << int(b) for b in part))
+                    value = mix64((fp.view(np.uint64) & taken) + np.uint64(k + 1))
+                    left = np.uint64(int(mask) & (2**64 - 1)) & ~taken
+                    yield pd.DataFrame({"cell": mix64(outer ^ value).view(np.int64), "mask": np.array(left).view(np.int64), "fp": fp})
+
+    return cells.mapInPandas(run, "cell long, mask long, fp long")
+
+
 def _forest(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
     """Links of a cell, one fewer than the members of each linked set."""
     parent = np.arange(len(fp))
@@ -177,8 +200,15 @@ def fingerprint_links(fps: DataFrame, bits: int = 3, cell_rows: int = CELL_ROWS)
     dealt = cut_lineage(_deal(fps, bits))
     sizes = dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = dealt.join(sizes, "cell")
-    fine = _deal_finer(shared.filter(F.col("n") > cell_rows).select("cell", "choice", "fp"), bits)
-    return _links(shared.filter(F.col("n") <= cell_rows).select("cell", "fp").unionByName(fine), bits).distinct()
+    ready = shared.filter(F.col("n") <= cell_rows).select("cell", "fp")
+    fine = _deal_finer(shared.filter(F.col("n") > cell_rows).select("cell", "choice", "fp"), bits).withColumn("mask", F.lit(-1).cast("long"))
+    while True:  # a round leaves at most three quarters of the open bits open, so cells cannot stay crowded
+        fine = cut_lineage(fine)
+        crowded = cut_lineage(fine.groupBy("cell", "mask").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell_rows).select("cell", "mask"))
+        if crowded.isEmpty():
+            return _links(ready.unionByName(fine.select("cell", "fp")), bits).distinct()
+        ready = ready.unionByName(fine.join(crowded, ["cell", "mask"], "left_anti").select("cell", "fp"))
+        fine = _deal_raw(fine.join(crowded, ["cell", "mask"], "left_semi"), bits)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, cell_rows: int = CELL_ROWS) -> DataFrame:
