@@ -10,7 +10,9 @@ any size is spread over many tasks.
 *Up.* Every level is joined with itself by shifting to the sibling's index: ``(tree, idx)`` equals
 ``(tree, idx XOR 1)``. The row of slot zero of each pair emits the parent at ``idx >> 1``. All trees
 rise together; a tree whose level has one node is done. Each level is cut off by a checkpoint and
-has half the nodes of the one below, so all levels together cost twice the first.
+has half the nodes of the one below, so all levels together cost twice the first. Once all
+unfinished trees together have at most ``TOP_NODES`` nodes, one task takes them to their roots by
+the same sibling rule: a job for each of these small levels would only fill the driver with plans.
 *Top.* The groups' roots, ordered by group (null first, bytewise), are the leaves of one more tree.
 *Down.* A node's proof is its sibling and then its parent's proof; it is handed down level by level
 with a join on ``idx >> 1``, and each leaf ends with all siblings on its way to the root.
@@ -27,17 +29,20 @@ gives none; columns that are not named take no part, whatever their names.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from activitykit.llm.common import cut_lineage
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+TOP_NODES = 1 << 14  # nodes of all unfinished trees that one task finishes
+MOST_LEVELS = 48
+CUT_LEVELS = 3
+REACHED = "tree string, height int, idx long, subroot string, proof array<string>"
 BROADCAST_ROWS = 100_000  # partitions and trees; about 100 bytes each
 
 
@@ -60,67 +65,79 @@ def _ranked(leaves: DataFrame) -> DataFrame:
     order = [F.col("tree"), F.col("key").asc_nulls_first(), F.col("digest"), F.col("_row")]
     leaves = cut_lineage(leaves.withColumn("_row", F.monotonically_increasing_id()))  # ranges are drawn from a sample: hash once
     dealt = cut_lineage(leaves.repartitionByRange(*order).sortWithinPartitions(*order).drop("_row"))
-    dealt = dealt.withColumn("_part", F.spark_partition_id())
-    schema = StructType([*dealt.schema.fields, StructField("_place", LongType())])
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, seen = None, 0
-        for batch in batches:
-            codes = batch.column("tree").dictionary_encode()
-            names, codes = codes.dictionary.to_pylist(), codes.indices.to_numpy(zero_copy_only=False)
-            places = np.zeros(batch.num_rows, np.int64)
-            starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, int)
-            for a, b in zip(starts, [*starts[1:], len(codes)]):
-                if names[codes[a]] != tree:
-                    tree, seen = names[codes[a]], 0
-                places[a:b] = seen + np.arange(b - a)
-                seen += int(b - a)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places)], [*batch.schema.names, "_place"])
-
-    placed = dealt.mapInArrow(number, schema)
-    counts = dealt.groupBy("tree", "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    # the rows lie as they were written, so a number by partition and row is a place in the order
+    dealt = dealt.withColumn("_row", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_row", 33))
+    counts = dealt.groupBy("tree", "_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first"))
     earlier = Window.partitionBy("tree").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
-    offsets = cut_lineage(counts.select("tree", "_part", before, F.sum("_rows").over(Window.partitionBy("tree")).alias("n")))
+    offsets = cut_lineage(counts.select("tree", "_part", "_first", before, F.sum("_rows").over(Window.partitionBy("tree")).alias("n")))
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    joined = placed.join(offsets, ["tree", "_part"])
-    return cut_lineage(joined.withColumn("idx", F.col("_before") + F.col("_place")).drop("_part", "_place", "_before"))
-
-
-def _rise(leaves: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
-    """(levels, roots). A level: (tree, idx, n, digest, sib) and the leaves' other columns at level 0; the k-th roots: those of trees with k levels below."""
-    levels, roots, nodes = [], [], leaves
-    most = leaves.agg(F.max("n")).first()[0] or 0
-    while most:
-        roots.append(nodes.filter("n = 1"))
-        if most == 1:
+    joined = dealt.join(offsets, ["tree", "_part"])
+    return cut_lineage(joined.withColumn("idx", F.col("_before") + F.col("_row") - F.col("_first")).drop("_row", "_part", "_first", "_before"))
+
+
+def _top(height: int):
+    """The rest of all trees, from their nodes at one level: each node's proof and its tree's root."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = list(batches)
+        for tree, rows in pd.concat(held).groupby("tree", sort=False) if held else ():
+            level = rows.sort_values("idx")["digest"].tolist()
+            at, proofs = list(range(len(level))), [[] for _ in level]
+            while len(level) > 1:
+                for proof, i in zip(proofs, at):
+                    sib = i ^ 1
+                    proof.append("-" if sib >= len(level) else ("<" if sib < i else ">") + level[sib])
+                at = [i >> 1 for i in at]
+                level = [hashlib.sha256("".join(level[k : k + 2]).encode()).hexdigest() for k in range(0, len(level), 2)]
+            yield pd.DataFrame({"tree": tree, "height": height, "idx": range(len(proofs)), "subroot": level[0], "proof": proofs})
+
+    return run
+
+
+def _climb(leaves: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """(levels, reached). A level: (tree, idx, n, digest, sib), at level 0 with the leaves' other columns.
+    ``reached``: (tree, height, idx, subroot, proof) of the nodes whose way to their root is known: the roots
+    that levels ended at, and all nodes of the level at which ``TOP_NODES`` or fewer were left."""
+    nodes_at = [F.sum(F.when(F.ceil(F.col("n") / (1 << h)) > 1, F.ceil(F.col("n") / (1 << h))).otherwise(0)) for h in range(MOST_LEVELS)]
+    left = leaves.filter("idx = 0").agg(*nodes_at).first()
+    levels, ends, nodes = [], [], leaves
+    nothing = F.array().cast("array<string>")
+    for height in range(MOST_LEVELS):
+        ends.append(nodes.filter("n = 1").select("tree", F.lit(height).alias("height"), "idx", F.col("digest").alias("subroot"), nothing.alias("proof")))
+        if (left[height] or 0) <= TOP_NODES:
             break
         live = nodes.filter("n > 1")
         shifted = live.select("tree", F.col("idx").bitwiseXOR(F.lit(1).cast("long")).alias("idx"), F.col("digest").alias("sib"))
-        level = cut_lineage(live.join(shifted, ["tree", "idx"], "left"))
-        levels.append(level)
+        levels.append(cut_lineage(live.join(shifted, ["tree", "idx"], "left")))
         up = digest(F.col("digest"), F.coalesce("sib", F.lit("")))
-        nodes = level.filter("idx % 2 = 0").select("tree", F.shiftright("idx", 1).alias("idx"), F.shiftright(F.col("n") + 1, 1).alias("n"), up.alias("digest"))
-        most = (most + 1) // 2
-    return levels, roots
-
-
-def _descend(levels: list[DataFrame], starts: list[DataFrame], kept: list[str]) -> DataFrame:
-    """(kept columns, proof) of all leaves. ``starts``: (tree, idx, proof, handed) of roots by height; ``kept``: columns of level 0."""
-    handed = [c for c in starts[0].columns if c not in ("tree", "idx", "proof")]
-    above = starts[-1]
+        nodes = levels[-1].filter("idx % 2 = 0").select("tree", F.shiftright("idx", 1).alias("idx"), F.shiftright(F.col("n") + 1, 1).alias("n"), up.alias("digest"))
+    rest = nodes.filter("n > 1").select("tree", "idx", "digest").repartition(1).mapInPandas(_top(len(levels)), REACHED)
+    for end in ends:
+        rest = rest.unionByName(end)
+    return levels, cut_lineage(rest)
+
+
+def _descend(leaves: DataFrame, levels: list[DataFrame], reached: DataFrame, kept: list[str]) -> DataFrame:
+    """(kept columns, subroot, proof) of all leaves."""
+    handed = ["subroot", "proof"]
+    alone = leaves.filter("n = 1") if levels else leaves
+    out = alone.select("tree", "idx", *kept).join(reached.filter("height = 0").drop("height"), ["tree", "idx"]).select(*kept, *handed)
+    above = reached.filter(F.col("height") == len(levels)).drop("height")
     for height in range(len(levels) - 1, -1, -1):
         right = F.concat(F.lit(">"), F.col("sib"))
         own = F.when(F.col("sib").isNull(), F.lit("-")).when(F.col("idx") % 2 == 0, right).otherwise(F.concat(F.lit("<"), F.col("sib")))
         held = ["tree", "idx", *(kept if height == 0 else [])]
         level = levels[height].select(*held, own.alias("_own"), F.shiftright("idx", 1).alias("_up"))
-        parents = above.select("tree", F.col("idx").alias("_up"), "proof", *handed)
+        parents = above.select("tree", F.col("idx").alias("_up"), *handed)
         proof = F.concat(F.array("_own"), F.col("proof")).alias("proof")
-        above = level.join(parents, ["tree", "_up"]).select(*held, proof, *handed)
+        above = level.join(parents, ["tree", "_up"]).select(*held, "subroot", proof)
         if height:
-            above = above.unionByName(starts[height])
-    return above
+            above = above.unionByName(reached.filter(F.col("height") == height).drop("height"))
+            if height % CUT_LEVELS == 0:
+                above = cut_lineage(above)  # a plan of few joins; an eighth of the proofs below at most
+    return out.unionByName(above.select(*kept, *handed)) if levels else out
 
 
 def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: str = "lang", key: str = "doc_id", carry: dict[str, Column] | None = None) -> DataFrame:
@@ -129,32 +146,20 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: str = "la
     tree = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))  # null before all, else bytewise
     taken = [c.alias(f"carry_{name}") for name, c in carry.items()]
     rows = docs.select(tree.alias("tree"), F.col(key).alias("key"), leaf([F.col(f) for f in fields]).alias("digest"), *taken)
-    kept = ["key", "leaf", *[f"carry_{name}" for name in carry]]
     leaves = _ranked(rows).withColumn("leaf", F.col("digest"))
-    levels, roots = _rise(leaves)
-
-    bare = [r.select("tree", F.lit(h).alias("height"), F.col("digest").alias("subroot")) for h, r in enumerate(roots)]
-    subroots = leaves.select("tree", F.lit(0).alias("height"), F.col("digest").alias("subroot")).limit(0)
-    for found in bare:
-        subroots = subroots.unionAll(found)
-    subroots = cut_lineage(subroots)
-    top = _ranked(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("key"), F.col("subroot").alias("digest"), F.col("height").alias("carry_height")))
-    top_levels, top_roots = _rise(top)
-    row = top_roots[-1].select("digest").first() if top_roots else None
+    levels, reached = _climb(leaves)
+
+    subroots = reached.groupBy("tree").agg(F.min("subroot").alias("subroot"))  # one value a tree
+    top = _ranked(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("key"), F.col("subroot").alias("digest")))
+    above = _descend(top, *_climb(top), ["key"])
+    above = cut_lineage(above.select(F.col("key").alias("tree"), F.col("subroot").alias("_root"), F.col("proof").alias("_above")))
+    row = above.select("_root").first()
     root = F.lit(row[0] if row else None).cast("string")
 
-    nothing = F.array().cast("array<string>")
-    if top_levels:
-        starts = [r.select("tree", "idx", nothing.alias("proof")) for r in top_roots]
-        shown = _descend(top_levels, starts, ["key", "digest", "carry_height"])
-    else:
-        shown = top.withColumn("proof", nothing)
-    shown = cut_lineage(shown.select(F.col("key").alias("tree"), F.col("digest").alias("subroot"), F.col("carry_height").alias("height"), "proof"))
-    starts = [shown.filter(F.col("height") == h).select("tree", F.lit(0).cast("long").alias("idx"), "proof", "subroot") for h in range(max(1, len(roots)))]
-    alone = leaves.filter("n = 1").join(starts[0].drop("idx"), "tree").select(*kept, "proof", "subroot")
-    if levels:
-        alone = alone.unionByName(_descend(levels, starts, kept).select(*kept, "proof", "subroot"))
-    return alone.select(F.col("key").alias(key), "leaf", "subroot", root.alias("root"), "proof", *[F.col(f"carry_{name}").alias(name) for name in carry])
+    known = reached.join(above.drop("_root"), "tree").select("tree", "height", "idx", "subroot", F.concat("proof", "_above").alias("proof"))
+    kept = ["key", "leaf", *[f"carry_{name}" for name in carry]]
+    found = _descend(leaves, levels, cut_lineage(known), kept)
+    return found.select(F.col("key").alias(key), "leaf", "subroot", root.alias("root"), "proof", *[F.col(f"carry_{name}").alias(name) for name in carry])
 
 
 def siblings(proof: Column) -> Column:
