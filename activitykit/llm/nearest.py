@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from activitykit.llm.common import cut_lineage
 
 PROJECTIONS = 12
-CONFIDENCE = 0.95
+CONFIDENCE = 0.99
 BLOCK_ROWS = 1 << 16
 LEAST_BLOCKS = 12
 QUERY_ROWS = 4096
