@@ -547,6 +547,24 @@ def q_run_log_phases(spark, sf_dir):
     return logs[0].unionByName(logs[1]).select("run_id", "seq", "status", "input_row_count")
 
 
+def q_run_history(spark, sf_dir):
+    """Reject reasons of two runs and the number of their records, from the log table; the first run is compacted before the second."""
+    from activitykit.plans.batch import run_batch
+    from activitykit.plans.run_log import compact_history, read_history
+    from activitykit.runtime import scratch_path
+
+    root = scratch_path(spark, "run-history")
+    raw = events_as_activity(spark, sf_dir, dirty=True)
+    for i, (lo, hi) in enumerate(_run_ranges(spark, sf_dir)):
+        run_batch(spark, _batch_config(root, f"run-{i}", lo, hi), raw)
+        if i == 0:
+            compact_history(spark, f"{root}/log")
+    history = read_history(spark, f"{root}/log")
+    records = history.groupBy("run_id").agg(F.count(F.lit(1)).alias("record_count"))
+    reasons = history.where(F.col("status") == "SUCCESS").select("run_id", F.explode("invalid_reason_summary").alias("reject_reason", "row_count"))
+    return reasons.join(records, "run_id")
+
+
 def q_snapshot_roundtrip(spark, sf_dir):
     """The first run's state is saved, loaded and continued, at a gap that sessions of many users cross."""
     from activitykit.runtime import scratch_path
@@ -668,6 +686,7 @@ WRITING_QUERIES = {
     "streaming_sessions": q_streaming_sessions,
     "quality_gate": q_quality_gate,
     "run_log_phases": q_run_log_phases,
+    "run_history": q_run_history,
     "snapshot_roundtrip": q_snapshot_roundtrip,
     "dlq_roundtrip": q_dlq_roundtrip,
     "weekly_table_roundtrip": q_weekly_table_roundtrip,

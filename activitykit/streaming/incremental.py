@@ -16,6 +16,9 @@ kept in ``<state>/batch_id=N``. The next state is the batch's snapshot plus the
 previous state, of which each user's greatest last event stays: a user idle for
 several batches still continues correctly when the gap allows it, and late rows
 (older than a user's state) open a new session without setting the state back. Only the two newest states are kept.
+With ``state_retention_seconds`` users whose last event lies that far behind the newest event of all
+leave the state, so it holds the recently active ones; rows that come later than that (no less than
+the gap) open a new session.
 
 Output accumulates one folder per micro-batch; a long-running stream needs the
 usual periodic compaction of its small files, which is outside this module.
@@ -26,6 +29,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from activitykit.operators.dedup import deduplicate
@@ -53,6 +57,11 @@ class StreamConfig:
     gap_seconds: int = SESSION_GAP_SECONDS
     max_user_rows: int | None = DEFAULT_MAX_USER_ROWS
     fallback_target_date: str | None = None  # DLQ date of unparsable rows; default: today in KST
+    state_retention_seconds: int | None = None  # None: users stay in the state for ever
+
+    def __post_init__(self):
+        if self.state_retention_seconds is not None and self.state_retention_seconds < self.gap_seconds:
+            raise ValueError(f"state_retention_seconds must not be below gap_seconds: {self.state_retention_seconds}")
 
 
 def _batch_dir(base: str, batch_id: int) -> str:
@@ -100,6 +109,11 @@ def process_micro_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> N
     snapshot = build_snapshot(written, today_kst().isoformat(), run_id)
     if previous is not None:
         snapshot = latest_state_per_user(snapshot, previous)
+    if cfg.state_retention_seconds is not None:
+        both = written.select("event_time_utc") if previous is None else written.select("event_time_utc").unionAll(previous.select("last_event_time_utc"))
+        newest = both.agg(F.max("event_time_utc")).first()[0]
+        kept_for = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(cfg.state_retention_seconds))
+        snapshot = snapshot.where(F.col("last_event_time_utc") > F.lit(newest) - kept_for)
     snapshot.write.mode("overwrite").parquet(_batch_dir(cfg.state_path, batch_id))
     # Keep the state this batch read (a retry reads it again) and the new one.
     if previous_id is not None:

@@ -388,6 +388,9 @@ FROM (VALUES
   ('good', 9, 'SUCCESS'),
   ('stopped', 1, 'RUNNING'), ('stopped', 2, 'NORMALIZING'), ('stopped', 3, 'VALIDATING'),
   ('stopped', 4, 'DEDUPLICATING'), ('stopped', 5, 'SESSIONIZING'), ('stopped', 6, 'FAILED')) AS t(run_id, seq, status)"""
+    q["run_history"] = "WITH " + _norm(True).lstrip() + """
+SELECT r.run_id AS run_id, reject_reason, COUNT(*) AS row_count, CAST(9 AS BIGINT) AS record_count
+FROM invalid, (VALUES ('run-0'), ('run-1')) AS r(run_id) GROUP BY r.run_id, reject_reason"""
     q["duplicate_groups_export"] = q["duplicate_groups"]
     q["snapshot_export"] = q["session_snapshot"]
     q["streaming_sessions"] = q["sessionize_seeded"]

@@ -110,3 +110,40 @@ def test_failed_run_is_logged_with_its_message(spark, out_dir):
     assert "start_date lies in the future" in rec[0].message and "end_date lies in the future" in rec[0].message
     assert rec[0].processing_start_date == "2999-01-01" and rec[0].snapshot_seed_date == "2998-12-31"
     assert rec[0].input_row_count is None
+
+
+def test_history_over_runs_and_compaction(spark, out_dir, monkeypatch):
+    from activitykit.plans.run_log import compact_history, journal, read_history
+    from activitykit.sources import fs
+
+    base = f"{out_dir}/log"
+    assert read_history(spark, base).count() == 0 and compact_history(spark, base) == []
+
+    def run(run_id, *statuses):
+        log = RunLog(spark, base, run_id, "2019-10-01")
+        for status in statuses:
+            log.log(status, input_row_count=7, invalid_reason_summary={"NULL_USER_ID": 2, "INVALID_PRICE": 1})
+
+    def rows():
+        return sorted((r.run_id, r.seq, r.status, r.invalid_reason_summary["NULL_USER_ID"]) for r in read_history(spark, base).collect())
+
+    run("a", "RUNNING", "SUCCESS")
+    run("b", "RUNNING", "FAILED")
+    want = [("a", 1, "RUNNING", 2), ("a", 2, "SUCCESS", 2), ("b", 1, "RUNNING", 2), ("b", 2, "FAILED", 2)]
+    assert rows() == want
+    with monkeypatch.context() as patch:  # the driver stops before the first record file goes
+        def stop(*args):
+            raise OSError("driver lost")
+
+        patch.setattr(fs, "delete", stop)
+        with pytest.raises(OSError):
+            compact_history(spark, base)
+    assert rows() == want
+    assert compact_history(spark, base) == ["a"] and rows() == want
+    assert [n for n in os.listdir(f"{base}/run_id=a") if not n.startswith(".")] == ["compacted.json"]
+    assert sorted(journal(spark, base, "b")) == ["FAILED", "RUNNING"]  # may still be resumed
+    run("c", "RUNNING", "SUCCESS")
+    assert compact_history(spark, base) == ["c"] and compact_history(spark, base) == []
+    assert rows() == want + [("c", 1, "RUNNING", 2), ("c", 2, "SUCCESS", 2)]
+    reasons = read_history(spark, base).where("status = 'SUCCESS'").select("run_id", F.explode("invalid_reason_summary").alias("reason", "n"))
+    assert {(r.reason, r.n) for r in reasons.collect()} == {("NULL_USER_ID", 2), ("INVALID_PRICE", 1)}

@@ -62,3 +62,23 @@ def test_late_rows_do_not_set_the_state_back(spark, raw, out_dir):
     for k, at in enumerate(("10:00:00", "08:00:00", "10:02:00")):
         process_micro_batch(raw([raw_row(event_time=f"2021-03-04 {at} UTC", user_session=str(k))]), k, cfg)
     assert _rows(spark, cfg.output_path) == [("0", "10:00:00", 0), ("1", "08:00:00", 1), ("2", "10:00:00", 2)]
+
+
+def test_idle_users_leave_the_state(spark, raw, out_dir):
+    import pytest
+
+    def run(name, retention):
+        cfg = StreamConfig(f"{out_dir}/{name}/out", f"{out_dir}/{name}/state", f"{out_dir}/{name}/dlq", fallback_target_date="2021-03-04", state_retention_seconds=retention)
+        for k in range(5):  # a new user every ten minutes, one who comes each time within the gap
+            rows = [raw_row(event_time=f"2021-03-04 10:{10 * k:02d}:00 UTC", user_id=k, user_session=f"u{k}")]
+            rows += [raw_row(event_time=f"2021-03-04 10:{10 * k + m:02d}:00 UTC", user_id=99, user_session=f"s{k}-{m}") for m in (0, 4, 8)]
+            process_micro_batch(raw(rows), k, cfg)
+        process_micro_batch(raw([raw_row(event_time="none", user_session="bad")]), 5, cfg)
+        return _rows(spark, cfg.output_path), sorted(r.user_id for r in latest_state(spark, cfg.state_path, 6).collect())
+
+    rows, state = run("all", None)
+    kept_rows, kept = run("recent", 600)
+    assert rows == kept_rows
+    assert state == [0, 1, 2, 3, 4, 99] and kept == [4, 99]
+    with pytest.raises(ValueError, match="must not be below gap_seconds"):
+        StreamConfig("o", "s", "d", gap_seconds=300, state_retention_seconds=299)
