@@ -17,6 +17,7 @@ from activitykit.operators.metrics import (
     unique_sessions,
 )
 from activitykit.operators.normalize import normalize
+from activitykit.operators.session_number import numbered_sessions, with_session_number
 from activitykit.operators.sessionize import (
     first_event_per_user,
     sessionize,
@@ -49,6 +50,7 @@ __all__ = [
     "filter_kst_range",
     "first_event_per_user",
     "normalize",
+    "numbered_sessions",
     "output_partition_summary",
     "output_partitions",
     "reason_display",
@@ -66,4 +68,5 @@ __all__ = [
     "weekly_users_sql",
     "with_all_weeks",
     "with_dedup_key",
+    "with_session_number",
 ]

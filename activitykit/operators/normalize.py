@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from activitykit.functions.time import parse_event_time, to_kst, week_start
-from activitykit.schema import PRICE_TYPE
+from activitykit.schema import MALFORMED_FIELDS, PRICE_TYPE
 
 
 def normalize(df: DataFrame, run_id: str) -> DataFrame:
@@ -14,7 +14,8 @@ def normalize(df: DataFrame, run_id: str) -> DataFrame:
     ingested_at, run_id and renames user_session → raw_user_session.
 
     Unparsable times and out-of-range prices become NULL (try_* under ANSI), so
-    validation, not the parser, decides what is rejected.
+    validation, not the parser, decides what is rejected. The place of a malformed line,
+    where the reader kept it, comes along.
     """
     utc = parse_event_time("event_time")
     kst = to_kst(utc)
@@ -36,4 +37,5 @@ def normalize(df: DataFrame, run_id: str) -> DataFrame:
         F.col("price").try_cast(PRICE_TYPE).alias("normalized_price"),
         F.current_timestamp().alias("ingested_at"),
         F.lit(run_id).alias("run_id"),
+        *[c for c in MALFORMED_FIELDS if c in df.columns],
     )

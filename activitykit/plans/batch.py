@@ -251,7 +251,7 @@ def _write_version(
 ) -> dict:
     """Writes the dead letters and the run's version; returns the input's counts."""
     if raw is None:
-        raw = read_activity_csv(spark, config.input_path)
+        raw = read_activity_csv(spark, config.input_path, keep_malformed=True)
     log.log(STATUS_NORMALIZING, **base)
     normalized = normalize(raw, config.run_id)
     if config.persist_input:

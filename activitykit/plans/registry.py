@@ -27,6 +27,7 @@ from activitykit.operators.metrics import (
     unique_sessions,
 )
 from activitykit.operators.normalize import normalize
+from activitykit.operators.session_number import with_session_number
 from activitykit.operators.sessionize import first_event_per_user, sessionize, user_activity_stats
 from activitykit.operators.snapshot import build_snapshot
 from activitykit.operators.validate import filter_kst_range, validate
@@ -205,6 +206,11 @@ def q_sessionize_seeded_split(spark, sf_dir):
     return _session_rows(_two_batches(spark, sf_dir, SEEDED_GAP_SECONDS, max_user_rows=SPLIT_MAX_USER_ROWS))
 
 
+def q_session_numbers(spark, sf_dir):
+    """Each row with the running number of its session among its user's."""
+    return with_session_number(sessionized(spark, sf_dir, 3600)).select("raw_user_session", "user_id", "session_id", "session_number")
+
+
 def q_first_event_per_user(spark, sf_dir):
     return comparable(first_event_per_user(deduplicated(spark, sf_dir)))
 
@@ -315,6 +321,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sessionize_hot_split": q_sessionize_hot_split,
         "sessionize_seeded": q_sessionize_seeded,
         "sessionize_seeded_split": q_sessionize_seeded_split,
+        "session_numbers": q_session_numbers,
         "first_event_per_user": q_first_event_per_user,
         "session_snapshot": q_session_snapshot,
         "wau_users": q_wau_users,
@@ -365,6 +372,26 @@ def q_csv_scan(spark, sf_dir):
     return comparable(normalize(read_activity_csv(spark, path), RUN_ID))
 
 
+def q_malformed_lines(spark, sf_dir):
+    """Every line that does not fit the schema, at its byte place, with its dead letter (none where only the price is bad)."""
+    from activitykit.runtime import scratch_path
+    from activitykit.sources.activity_csv import malformed_lines, read_activity_csv, write_activity_csv
+    from activitykit.sources.events import events_as_text_activity
+
+    path = scratch_path(spark, "malformed-csv")
+    ensure_utc(spark)
+    write_activity_csv(events_as_text_activity(spark, sf_dir), path)
+    dead = validate(normalize(read_activity_csv(spark, path, keep_malformed=True), RUN_ID), TARGET_DATE).invalid
+    letters = dead.select(
+        "reject_reason",
+        F.get_json_object("raw_payload", "$.malformed_line").alias("malformed_line"),
+        F.get_json_object("raw_payload", "$.source_file").alias("source_file"),
+        F.get_json_object("raw_payload", "$.source_block_start").cast("bigint").alias("_block"),
+    )
+    found = malformed_lines(spark, path).join(letters, ["source_file", "malformed_line"], "left")
+    return found.select("malformed_line", "reject_reason", (F.col("byte_offset") >= F.col("_block")).alias("in_block"))
+
+
 def _table_rows(df: DataFrame) -> DataFrame:
     return comparable(df.select("raw_user_session", "session_id", "price", "event_time_utc", "event_date_kst"))
 
@@ -691,6 +718,7 @@ WRITING_QUERIES = {
     "dlq_roundtrip": q_dlq_roundtrip,
     "weekly_table_roundtrip": q_weekly_table_roundtrip,
     "csv_scan": q_csv_scan,
+    "malformed_lines": q_malformed_lines,
     "publish_roundtrip": q_publish_roundtrip,
     "catalog_roundtrip": q_catalog_roundtrip,
     "incremental_weekly_overwrite": q_incremental_weekly_overwrite,

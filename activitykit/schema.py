@@ -82,6 +82,12 @@ RAW_PAYLOAD_FIELDS = [
     "raw_user_session",
 ]
 
+# Kept beside the raw row when a CSV line does not fit the schema; payload fields of its dead letter.
+MALFORMED_LINE = "malformed_line"
+SOURCE_FILE = "source_file"
+SOURCE_BLOCK_START = "source_block_start"
+MALFORMED_FIELDS = [MALFORMED_LINE, SOURCE_FILE, SOURCE_BLOCK_START]
+
 # Order of the session window; also the tie-breaker of the snapshot pick.
 SESSION_ORDER = ["event_time_utc", "product_id", "event_type", "dedup_key"]
 

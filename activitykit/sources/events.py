@@ -26,6 +26,9 @@ DIRT_NULL_PRODUCT_ID = 227
 DIRT_BAD_TIME = 229
 DIRT_NEGATIVE_PRICE = 233
 DIRT_DUPLICATE = 37
+# Fixed faults of the text view (event_id multiple → a number that does not parse).
+DIRT_TEXT_PRODUCT = 239
+DIRT_TEXT_PRICE = 241
 BAD_TIME_TEXT = "bad-time"
 
 
@@ -37,6 +40,17 @@ def events_as_activity(spark: SparkSession, sf_dir: str, dirty: bool = False) ->
     return activity_from_events(read_events(spark, sf_dir), dirty)
 
 
+def events_as_text_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean rows with every field as text, some numbers of which do not parse."""
+    rows = events_as_activity(spark, sf_dir).withColumn("price", F.col("price").try_cast("decimal(18,2)"))
+    text = rows.select(*[F.col(f.name).cast("string") for f in RAW_SCHEMA.fields])
+    event_id = F.col("user_session").cast("bigint")
+    return text.withColumns({
+        "product_id": F.when(event_id % DIRT_TEXT_PRODUCT == 0, F.concat(F.lit("k"), "product_id")).otherwise(F.col("product_id")),
+        "price": F.when(event_id % DIRT_TEXT_PRICE == 0, F.concat(F.lit("about "), "price")).otherwise(F.col("price")),
+    })
+
+
 def activity_from_events(events: DataFrame, dirty: bool = False) -> DataFrame:
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     e = F.col("event_id")

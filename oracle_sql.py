@@ -300,6 +300,24 @@ SELECT '2024-01-31' AS snapshot_date_kst, user_id, session_id AS last_session_id
   {_ts('event_time_kst', 'last_event_time_kst')},
   '{RUN_ID}' AS run_id
 FROM last WHERE rk = 1"""
+    q["session_numbers"] = pipeline(3600) + """
+SELECT raw_user_session, user_id, session_id,
+  dense_rank() OVER (PARTITION BY user_id ORDER BY session_start_time_utc) AS session_number
+FROM sess"""
+    q["malformed_lines"] = """
+WITH lines AS (
+  SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+    strftime(ts, '%Y-%m-%d %H:%M:%S UTC') AS event_time, event_type, user_id,
+    CAST(TRY_CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS price
+  FROM events
+  WHERE event_id % 239 = 0 OR event_id % 241 = 0
+)
+SELECT concat_ws(',', event_time, event_type, CASE WHEN event_id % 239 = 0 THEN 'k' ELSE '' END || CAST(k AS VARCHAR),
+    CAST(k % 10 AS VARCHAR), 'cat.' || CAST(k % 10 AS VARCHAR), '',
+    CASE WHEN event_id % 241 = 0 THEN 'about ' ELSE '' END || price, CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR)) AS malformed_line,
+  CASE WHEN event_id % 239 = 0 THEN 'NULL_PRODUCT_ID' END AS reject_reason,
+  CASE WHEN event_id % 239 = 0 THEN true END AS in_block
+FROM lines"""
     q["wau_users"] = _wau_users()
     q["wau_users_range"] = _wau_users(WEEK_FROM, WEEK_TO)
     q["wau_users_to"] = _wau_users(None, WEEK_TO)
