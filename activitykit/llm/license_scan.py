@@ -10,6 +10,11 @@ are ordered identifier sequences. Rules are tried in order, each consumes the id
 matched, and what is left is reported as unmatched. Both tables are small constants that travel in
 the plan, so the scan is a projection: no join, no shuffle, one row per document.
 
+An SPDX expression (``GPL-2.0-only OR MIT``, with AND, OR, WITH and brackets) is the identifier
+``spdx:`` and the expression in its usual spelling, if every name in it is known; it is reported
+whole, after the licences of the rules. "All rights reserved" is a notice that stands before or in
+many licences: it is listed among the sentences, breaks no rule's sequence and is no licence itself.
+
 Held are the standard notices (and SPDX lines) of the licences in ``RULES``; other licences, full GNU
 texts by title and reworded notices are not recognised.
 
@@ -150,13 +155,34 @@ for name in list(dict.fromkeys(n for n, _ in RULES)):
         SENTENCES[f"spdx-license-identifier {name.lower().removesuffix('-only')}"] = tag
 for either in ("mit or apache-2.0", "apache-2.0 or mit"):
     SENTENCES[f"spdx-license-identifier {either}"] = "apache2-or-mit-spdx"
-RULES += [("Apache-2.0 OR MIT", ["apache2-or-mit-spdx"]), ("Proprietary", ["all-rights"])]
+RULES += [("Apache-2.0 OR MIT", ["apache2-or-mit-spdx"])]
+NOTICE = "all-rights"
+
+# fixed values: SPDX names, beyond the licences of the rules, that an expression may hold
+EXCEPTIONS = [
+    "Autoconf-exception-3.0", "Bison-exception-2.2", "Classpath-exception-2.0", "Font-exception-2.0",
+    "GCC-exception-3.1", "Linux-syscall-note", "LLVM-exception", "OpenSSL-exception",
+]
+OTHER_LICENSES = [
+    "AFL-2.1", "Artistic-1.0", "Artistic-2.0", "BSD-4-Clause", "BSD-3-Clause-Clear", "CDDL-1.0", "CDDL-1.1",
+    "EPL-1.0", "EUPL-1.1", "EUPL-1.2", "MIT-0", "MPL-1.1", "MulanPSL-2.0", "NCSA", "OFL-1.1", "PostgreSQL",
+    "PSF-2.0", "Python-2.0", "Ruby", "Unicode-DFS-2016", "WTFPL", "X11",
+]
+OPERATORS = ["OR", "AND", "WITH"]
+_NAMES = [n for n in dict.fromkeys(n for n, _ in RULES) if " " not in n]
+SPDX_NAMES = {n.lower(): n for n in [*_NAMES, *OTHER_LICENSES, *EXCEPTIONS, *OPERATORS, "(", ")"]}
+for n in _NAMES:  # the deprecated forms of the GNU names
+    if n.endswith(("-only", "-or-later")):
+        SPDX_NAMES[n.lower().removesuffix("-only").removesuffix("-or-later") + ("+" if n.endswith("-or-later") else "")] = n
 
 #: Every known sentence has one of these, so other texts need no cutting.
 HINT = "(?i)licen|notice|software|reserved|redistribution|permission|domain|mpl|version"
 WRAPPED = r"([^.!?:;\n])\n[ \t]*(?:(?:#|//|\*|--)[ \t]*)?([a-z\"(]|(?:GNU|Lesser|Library|Affero|General|Public|License|Free|Software|Foundation|Apache|Version|Mozilla|Eclipse|Boost|Creative|Commons|Attribution|International)\b)"
 # an SPDX tag and its expression are one sentence, which ends where the expression does
 SPDX = r"(?i:spdx-license-identifier:)[\x20\x09]*[^\x20\x09-\x0D]+(?:[\x20\x09]+(?:OR|AND|WITH)[\x20\x09]+[^\x20\x09-\x0D]+)*"
+#: the expression of a tag (in lower case), and the form of one whose names are known ("?" stands for an unknown one)
+SPDX_TOLD = r"spdx-license-identifier:([a-z0-9.+() \x09\-]*[a-z0-9+)])"
+EXPRESSION = r"^(\( )*[^ ()?]+( (OR|AND|WITH) (\( )*[^ ()?]+| \))+$"
 MARK = rf"({SPDX}|[.!?:;])(?:[\x20\x09-\x0D]+|\z)"
 NOISE = r"[^\p{L}\p{N}.+\-]+"
 
@@ -166,19 +192,35 @@ def sentence_ids(text: str = "text") -> Column:
     joined = F.regexp_replace(text, WRAPPED, "$1 $2")
     parts = F.split(F.regexp_replace(joined, MARK, "$1\n"), "\n", -1)
     known = F.create_map(*[F.lit(x) for x in chain.from_iterable(SENTENCES.items())])
+    names = F.create_map(*[F.lit(x) for x in chain.from_iterable(SPDX_NAMES.items())])
 
     def name(part: Column) -> Column:
         plain = F.regexp_replace(F.lower(part), NOISE, " ")
-        return F.try_element_at(known, F.regexp_replace(plain, r"^[ .\-]+|[ .\-]+$", ""))
+        return F.coalesce(F.try_element_at(known, F.regexp_replace(plain, r"^[ .\-]+|[ .\-]+$", "")), expression(part))
+
+    def expression(part: Column) -> Column:
+        told = F.regexp_extract(F.lower(part), SPDX_TOLD, 1)
+        words = F.split(F.trim(F.regexp_replace(F.regexp_replace(told, r"([()])", " $1 "), r"[ \x09]+", " ")), " ", -1)
+        whole = F.array_join(F.transform(words, lambda w: F.try_element_at(names, w)), " ", "?")
+        opened, closed = F.size(F.filter(words, lambda w: w == "(")), F.size(F.filter(words, lambda w: w == ")"))
+        spelled = F.replace(F.replace(whole, F.lit("( "), F.lit("(")), F.lit(" )"), F.lit(")"))
+        return F.when(whole.rlike(EXPRESSION) & whole.rlike(" (OR|AND|WITH) ") & (opened == closed), F.concat(F.lit("spdx:"), spelled))
 
     return F.when(F.col(text).rlike(HINT), F.filter(F.transform(parts, name), lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, licenses, sentence_ids, unmatched): comma-joined, licences in rule order without repeats."""
-    out = docs.select("doc_id", F.array_join(sentence_ids(), ",").alias("sentence_ids"))
+    """(doc_id, licenses, sentence_ids, unmatched): comma-joined, licences in rule order, then expressions, without repeats."""
+    out = docs.select("doc_id", sentence_ids().alias("_ids"))
+    told = F.filter("_ids", lambda i: i.startswith("spdx:"))
+    out = out.select(
+        "doc_id",
+        F.array_join("_ids", ",").alias("sentence_ids"),
+        F.array_join(F.filter("_ids", lambda i: ~i.startswith("spdx:") & (i != NOTICE)), ",").alias("_seq"),
+        F.array_distinct(F.transform(told, lambda i: F.substr(i, F.lit(6)))).alias("_expressions"),
+    )
     # identifiers as ",a,,b,": a sequence matches only as a run of whole identifiers
-    rest: Column = F.when(F.col("sentence_ids") == "", "").otherwise(F.concat(F.lit(","), F.replace("sentence_ids", F.lit(","), F.lit(",,")), F.lit(",")))
+    rest: Column = F.when(F.col("_seq") == "", "").otherwise(F.concat(F.lit(","), F.replace("_seq", F.lit(","), F.lit(",,")), F.lit(",")))
     runs = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f",{i}," for i in ids)).alias("run")) for name, ids in RULES])
     start = F.struct(rest.alias("rest"), F.array().cast("array<string>").alias("hits"))
 
@@ -186,16 +228,21 @@ def scan(docs: DataFrame) -> DataFrame:
         hits = F.when(s["rest"].contains(rule["run"]), F.array_append(s["hits"], rule["name"])).otherwise(s["hits"])
         return F.struct(F.replace(s["rest"], rule["run"], F.lit("|")).alias("rest"), hits.alias("hits"))
 
-    out = out.withColumn("_told", F.when(F.col("sentence_ids") == "", start).otherwise(F.aggregate(runs, start, tried)))
+    out = out.withColumn("_told", F.when(F.col("_seq") == "", start).otherwise(F.aggregate(runs, start, tried)))
     ordered = F.array(*[F.lit(name) for name in dict.fromkeys(name for name, _ in RULES)])
     names = F.filter(ordered, lambda name: F.array_contains("_told.hits", name))
     left = F.regexp_replace(F.regexp_replace("_told.rest", r"[|,]+", ","), "^,|,$", "")
-    return out.select("doc_id", F.array_join(names, ",").alias("licenses"), "sentence_ids", left.alias("unmatched"))
+    return out.select("doc_id", F.array_join(F.concat(names, "_expressions"), ",").alias("licenses"), "sentence_ids", left.alias("unmatched"))
 
 
 def scan_sql() -> str:
     """The scan in DuckDB SQL, from the same fixed tables."""
-    known = "MAP {" + ", ".join(f"'{s}': '{i}'" for s, i in SENTENCES.items()) + "}"
+    known, names = ("MAP {" + ", ".join(f"'{s}': '{i}'" for s, i in table.items()) + "}" for table in (SENTENCES, SPDX_NAMES))
+    words = f"string_split(trim(regexp_replace(regexp_replace(regexp_extract(lower(x), '{SPDX_TOLD}', 1), '([()])', ' \\1 ', 'g'), '[ \\x09]+', ' ', 'g')), ' ')"
+    whole = f"array_to_string(list_transform({words}, lambda w: coalesce(({names})[w], '?')), ' ')"
+    expression = f"""CASE WHEN regexp_matches({whole}, '{EXPRESSION}') AND regexp_matches({whole}, ' (OR|AND|WITH) ')
+      AND len(list_filter({words}, lambda w: w = '(')) = len(list_filter({words}, lambda w: w = ')'))
+      THEN 'spdx:' || replace(replace({whole}, '( ', '('), ' )', ')') END"""
     steps, rest = [], "seq"
     for k, (_, ids) in enumerate(RULES):
         run = "".join(f",{i}," for i in ids)
@@ -209,14 +256,19 @@ WITH parts AS (
   SELECT doc_id, string_split(regexp_replace(regexp_replace(coalesce(text, ''), '{wrapped}', '\\1 \\2', 'g'), '{MARK}', '\\1' || chr(10), 'g'), chr(10)) AS p
   FROM documents),
 ids AS (
-  SELECT doc_id, list_filter(list_transform(p, lambda x: ({known})[regexp_replace(regexp_replace(lower(x), '{NOISE}', ' ', 'g'), '^[ .\\-]+|[ .\\-]+$', '', 'g')]), lambda y: y IS NOT NULL) AS i
+  SELECT doc_id, list_filter(list_transform(p, lambda x: coalesce(({known})[regexp_replace(regexp_replace(lower(x), '{NOISE}', ' ', 'g'), '^[ .\\-]+|[ .\\-]+$', '', 'g')], {expression})), lambda y: y IS NOT NULL) AS i
   FROM parts),
+told AS (
+  SELECT doc_id, i, list_filter(i, lambda y: NOT starts_with(y, 'spdx:') AND y <> '{NOTICE}') AS r,
+         list_transform(list_filter(i, lambda y: starts_with(y, 'spdx:')), lambda y: substr(y, 6)) AS e
+  FROM ids),
 base AS (
   SELECT doc_id, coalesce(array_to_string(i, ','), '') AS sentence_ids,
-         CASE WHEN len(i) = 0 THEN '' ELSE ',' || array_to_string(i, ',,') || ',' END AS seq
-  FROM ids),
+         list_filter(e, lambda y, k: list_position(e, y) = k) AS expressions,
+         CASE WHEN len(r) = 0 THEN '' ELSE ',' || array_to_string(r, ',,') || ',' END AS seq
+  FROM told),
 {", ".join(steps)}
-SELECT doc_id, array_to_string(list_filter([{hits}], lambda z: z IS NOT NULL), ',') AS licenses, sentence_ids,
+SELECT doc_id, array_to_string(list_concat(list_filter([{hits}], lambda z: z IS NOT NULL), expressions), ',') AS licenses, sentence_ids,
        regexp_replace(regexp_replace({rest}, '[|,]+', ',', 'g'), '^,|,$', '', 'g') AS unmatched
 FROM s{len(RULES) - 1}
 """

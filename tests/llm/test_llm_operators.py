@@ -212,7 +212,7 @@ def test_licenses(spark, docs):
     ]
     got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert got[1].licenses == "Apache-2.0" and got[1].unmatched == ""
-    assert got[2].licenses == "MIT,Proprietary"
+    assert (got[2].licenses, got[2].sentence_ids, got[2].unmatched) == ("MIT", "mit-under,all-rights", "")
     assert got[3].licenses == "" and got[4].licenses == ""
     assert license_scan.scan(docs).count() == docs.count()
     hint = re.compile(license_scan.HINT)
@@ -240,6 +240,28 @@ def test_spdx_lines(spark):
     assert all(got[t].licenses == "" for t in other)
 
 
+def test_spdx_expressions(spark):
+    told = {
+        "// SPDX-License-Identifier: GPL-2.0-only OR MIT": "GPL-2.0-only OR MIT",
+        "/* SPDX-License-Identifier: (gpl-2.0+ WITH Linux-syscall-note) OR BSD-3-Clause */\nint x;": "(GPL-2.0-or-later WITH Linux-syscall-note) OR BSD-3-Clause",
+        "# SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception.": "Apache-2.0 WITH LLVM-exception",
+        "SPDX-License-Identifier: (MIT OR ISC) AND (Zlib OR (NCSA AND WTFPL))\nwords": "(MIT OR ISC) AND (Zlib OR (NCSA AND WTFPL))",
+        "SPDX-License-Identifier: MIT AND ISC\n// SPDX-License-Identifier: MIT AND ISC\n# SPDX-License-Identifier: Zlib": "Zlib,MIT AND ISC",
+    }
+    other = ["SPDX-License-Identifier: MIT OR Unknown-9", "SPDX-License-Identifier: (MIT OR ISC", "SPDX-License-Identifier: MIT OR", "SPDX-License-Identifier: ()", "MIT OR ISC"]
+    got = _scanned(spark, [*told, *other])
+    assert {t: got[t].licenses for t in told} == told
+    assert all(got[t].unmatched == "" for t in told) and all("OR" not in got[t].licenses for t in other)
+
+
+def test_all_rights_reserved_is_a_notice(spark):
+    bsd = "Copyright (c) 2020, A\nAll rights reserved.\n\n" + BSD + "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission."
+    alone = "Copyright 2020 A. All rights reserved."
+    got = _scanned(spark, [bsd, alone])
+    assert (got[bsd].licenses, got[bsd].unmatched) == ("BSD-3-Clause", "") and got[bsd].sentence_ids.startswith("all-rights,")
+    assert (got[alone].licenses, got[alone].sentence_ids, got[alone].unmatched) == ("", "all-rights", "")
+
+
 GNU = "{0} is free software{1} you can redistribute it and/or modify\nit under the terms of the GNU {2} as published by\nthe Free Software Foundation{3}{4}\n\n{0} is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY."
 LATER = " either version {} of the License, or\n(at your option) any later version."
 GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:"
@@ -280,14 +302,14 @@ for _kind, _name, _version in [("GPL", "General Public License", "3"), ("GPL", "
             NOTICES.append((f"{_id}-or-later", GNU.format(_first, _mark, _name, _end, LATER.format(_version))))
             NOTICES.append((f"{_id}-only", GNU.format(_first, _mark, _name, _end, f" version {_version} of the License.")))
             NOTICES.append((f"{_id}-only", GNU.format(_first, _mark, _name, _end, f" version {_version}.")))
-NOTICES += [(n, f"# SPDX-License-Identifier: {n}") for n in dict.fromkeys(n for n, _ in license_scan.RULES) if " " not in n and n != "Proprietary"]
+NOTICES += [(n, f"# SPDX-License-Identifier: {n}") for n in dict.fromkeys(n for n, _ in license_scan.RULES) if " " not in n]
 
 
 def test_every_rule_on_its_canonical_notice(spark):
     got = _scanned(spark, [t for _, t in NOTICES])
     for name, text in NOTICES:
         assert (got[text].licenses, got[text].unmatched) == (name, ""), text
-    assert {n for n, _ in NOTICES} == {n for n, _ in license_scan.RULES} - {"Proprietary"}
+    assert {n for n, _ in NOTICES} == {n for n, _ in license_scan.RULES}
     commented = {t: "\n".join(f" * {line}" for line in t.split("\n")) for _, t in NOTICES if "1." not in t}
     again = _scanned(spark, list(commented.values()))
     assert all(again[commented[t]].licenses == n for n, t in NOTICES if t in commented)
