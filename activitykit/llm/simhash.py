@@ -13,8 +13,8 @@ distance is tested first, then the exact Hamming distance.
 Only distinct fingerprints enter a cell, so copies cost nothing. A cell with more than
 ``cell_rows`` fingerprints is dealt out again on finer axes (same pigeonhole, on the coordinates
 left open) before any task reads it; cells that stay crowded, as where thousands of fingerprints
-share one popcount vector, are dealt on by runs of their raw bits (same pigeonhole on bits, until
-the open bits cannot fill a cell). A task emits a spanning forest of each cell's links, never
+share one popcount vector, are dealt on by runs of the raw bits that differ inside them (same
+pigeonhole on bits, until no more than ``bits`` differ: all are linked then). A task emits a spanning forest of each cell's links, never
 all pairs; the forests are joined into components by star contractions.
 
 Edge cases: null or empty texts have fingerprint zero and link like any other; rows with a null
@@ -129,7 +129,8 @@ def _deal_raw(cells: DataFrame, bits: int) -> DataFrame:
     """The rows of cells that popcounts cannot split, dealt by runs of the raw bits their cell leaves open (``mask``).
 
     The open bits are cut into ``bits + 1`` runs; two fingerprints of a cell that differ in ``bits`` bits
-    or fewer agree in one run whole, and meet in its cell, which leaves the other runs open.
+    or fewer agree in one run whole, and meet in its cell, which leaves the other runs open. Bits that are
+    alike in the whole cell may be left out of ``mask``.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,13 +203,15 @@ def fingerprint_links(fps: DataFrame, bits: int = 3, cell_rows: int = CELL_ROWS)
     shared = dealt.join(sizes, "cell")
     ready = shared.filter(F.col("n") <= cell_rows).select("cell", "fp")
     fine = _deal_finer(shared.filter(F.col("n") > cell_rows).select("cell", "choice", "fp"), bits).withColumn("mask", F.lit(-1).cast("long"))
-    while True:  # a round leaves at most three quarters of the open bits open, so cells cannot stay crowded
+    while True:
         fine = cut_lineage(fine)
-        crowded = cut_lineage(fine.groupBy("cell", "mask").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell_rows).select("cell", "mask"))
+        # only bits that differ inside a cell are dealt by, so each run splits it; with no more than ``bits`` of them all its rows are linked
+        sizes = fine.groupBy("cell", "mask").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_or(fp) ^ bit_and(fp)").alias("open"))
+        crowded = cut_lineage(sizes.filter((F.col("n") > cell_rows) & (F.bit_count("open") > bits)).select("cell", "mask", "open"))
         if crowded.isEmpty():
             return _links(ready.unionByName(fine.select("cell", "fp")), bits).distinct()
         ready = ready.unionByName(fine.join(crowded, ["cell", "mask"], "left_anti").select("cell", "fp"))
-        fine = _deal_raw(fine.join(crowded, ["cell", "mask"], "left_semi"), bits)
+        fine = _deal_raw(fine.join(crowded, ["cell", "mask"]).select("cell", F.col("open").alias("mask"), "fp"), bits)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, cell_rows: int = CELL_ROWS) -> DataFrame:

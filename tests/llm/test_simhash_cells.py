@@ -62,3 +62,15 @@ def test_raw_cells_lose_no_near_pair(spark):
     met = {frozenset((a, b)) for row in twice for i, a in enumerate(row.fps) for b in row.fps[i + 1 :] if (a ^ b).bit_count() <= 3}
     want = {frozenset((int(a), int(b))) for i, a in enumerate(fp) for b in fp[i + 1 :] if (int(a) ^ int(b)).bit_count() <= 3}
     assert want <= met
+
+
+@pytest.mark.parametrize("cell_rows", [1, 2, 5])
+def test_near_fingerprints_in_small_cells_come_to_an_end(spark, cell_rows):
+    """All 64 values of six bits, one cell throughout: more than ``cell_rows`` stay together when few bits are open."""
+    far = [int(x) for x in np.random.default_rng(8).integers(0, 1 << 62, 5)]
+    fp = [int(np.int64(sum((k >> b & 1) << at for b, at in enumerate((0, 1, 2, 30, 45, 62))))) for k in range(64)]
+    rows = spark.createDataFrame([(x,) for x in [*fp, *far]], "fp long").repartition(4)
+    got = [(r.u, r.v) for r in simhash.fingerprint_links(rows, 3, cell_rows=cell_rows).collect()]
+    want = [(a, b) for i, a in enumerate([*fp, *far]) for b in [*fp, *far][i + 1 :] if (a ^ b).bit_count() <= 3]
+    assert set(map(frozenset, got)) <= set(map(frozenset, want))
+    assert _components([*fp, *far], got) == _components([*fp, *far], want)
